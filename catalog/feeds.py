@@ -183,18 +183,22 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as trades: the unit price of a ship mode on its ship date.
+    """Order lines as trades: the unit price by line status and ship date.
 
-    The largest table as a daily feed. Times are whole days, so open and close rest on
-    the trade id alone, and half of all rows share one symbol.
+    The largest table as a daily feed with two symbols, each holding half of all rows.
+    Times are whole days, so open and close rest on the trade id alone. Order and line
+    number repeat in this table; the price in cents tells the repetitions apart.
     """
     return read(spark, sf_dir, "lineitem").select(
-        F.concat("l_returnflag", "l_linestatus").alias("symbol"),
+        F.col("l_linestatus").alias("symbol"),
         F.round(F.col("l_extendedprice") / F.col("l_quantity"), 8).alias("price"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_shipdate").cast("timestamp").alias("trade_timestamp"),
         (F.col("l_suppkey") % 2 == 0).alias("is_buyer_maker"),
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("trade_id"),
+        (
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100_000_000
+            + F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        ).alias("trade_id"),
     )
 
 
@@ -231,7 +235,6 @@ def candles_sql(
     source: str = "trades",
     bucket: str = "interval 1 minute",
     trade_id: str = "event_id",
-    having: str = "",
 ) -> str:
     """A candle relation named ``name`` over ``source``."""
     return f"""
@@ -244,5 +247,5 @@ def candles_sql(
            coalesce(sum(quantity) filter (where not is_buyer_maker), 0) as buy_volume_taker,
            coalesce(sum(quantity) filter (where is_buyer_maker), 0) as sell_volume_maker,
            cast(count(*) as bigint) as trade_count
-    from {source} group by all {having})
+    from {source} group by 1, 2)
 """

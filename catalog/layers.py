@@ -178,15 +178,16 @@ def candles_1h_from_1m(spark, sf_dir):
 
 @query(
     f"""with items as (
-        select l_returnflag || l_linestatus as symbol,
+        select l_linestatus as symbol,
                round(l_extendedprice / l_quantity, 8) as price, l_quantity as quantity,
                l_shipdate as trade_timestamp, l_suppkey % 2 = 0 as is_buyer_maker,
-               l_orderkey * 100 + l_linenumber as trade_id
+               (l_orderkey * 10 + l_linenumber) * 100000000
+                   + cast(round(l_extendedprice * 100) as bigint) as trade_id
         from lineitem),
     {feeds.candles_sql('candles', 'items', 'interval 1 day', 'trade_id')}
     select {CANDLE_COLUMNS} from candles"""
 )
 def candles_1d_items(spark, sf_dir):
-    """Daily candles of the largest table, where one symbol holds half of all rows."""
+    """Daily candles of the largest table, where each of two symbols holds half of all rows."""
     items = feeds.item_trades(spark, sf_dir)
     return to_candles(items, width="1 day", trade_id="trade_id").drop("ingested_at")

@@ -148,11 +148,9 @@ def silver_stream(spark, sf_dir):
 
 # A streamed candle is final once the watermark, ten minutes behind the newest trade,
 # has passed its end.
-FINAL = """having time_bucket(interval 1 minute, trade_timestamp) + interval 1 minute
+FINAL = """where candle_start_time + interval 1 minute
     <= (select max(trade_timestamp) from {source}) - interval 10 minutes"""
-STREAMED_SQL = f"""with {feeds.TRADES_SQL},
-    {feeds.candles_sql('candles', having=FINAL.format(source='trades'))}
-    select {CANDLE_COLUMNS} from candles"""
+STREAMED_SQL = f"{BASE} select {CANDLE_COLUMNS} from candles {FINAL.format(source='trades')}"
 
 
 @query(STREAMED_SQL)
@@ -181,8 +179,8 @@ def candles_foreach_upsert(spark, sf_dir):
     kept as (
         select distinct symbol, price, quantity, is_buyer_maker, timestamp as trade_timestamp, 0 as event_id
         from decoded where price > 0 and quantity > 0),
-    {feeds.candles_sql('candles', 'kept', having=FINAL.format(source='kept'))}
-    select {CANDLE_COLUMNS} from candles"""
+    {feeds.candles_sql('candles', 'kept')}
+    select {CANDLE_COLUMNS} from candles {FINAL.format(source='kept')}"""
 )
 def layers_run(spark, sf_dir):
     """Messages through bronze and silver files to the candle table, three drains."""
