@@ -16,6 +16,7 @@ from tapeworks.operators.trades import with_calendar
 from tapeworks.operators.upsert import upsert
 from tapeworks.plans import layers
 from tapeworks.plans.loads import load_trade_history
+from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
 from tapeworks.sinks import tables
 from tapeworks.sinks.files import reload_slices
@@ -158,10 +159,10 @@ def candles_stream(spark, sf_dir):
     path = scratch(spark, "candles")
     feed = feeds.timed_trades(spark, sf_dir, streaming=True)
     fresh = layers.gold(feed, trade_id="event_id").withColumn(
-        "candle_day", F.to_date("candle_start_time")
+        CANDLE_DAY, F.to_date("candle_start_time")
     )
-    drains.append_parquet(fresh, path, path + "-checkpoint", ["candle_day"]).awaitTermination()
-    return candle_table(spark, path).drop("ingested_at")
+    drains.append_parquet(fresh, path, path + "-checkpoint", [CANDLE_DAY]).awaitTermination()
+    return candle_table(spark, path).drop("ingested_at", CANDLE_DAY)
 
 
 @query(STREAMED_SQL)
@@ -171,7 +172,7 @@ def candles_foreach_upsert(spark, sf_dir):
     for attempt in ("first", "second"):
         feed = feeds.timed_trades(spark, sf_dir, streaming=True)
         drains.drain_gold(feed, path, f"{path}-{attempt}", trade_id="event_id")
-    return candle_table(spark, path).drop("ingested_at")
+    return candle_table(spark, path).drop("ingested_at", CANDLE_DAY)
 
 
 @query(
@@ -186,4 +187,4 @@ def layers_run(spark, sf_dir):
     """Messages through bronze and silver files to the candle table, three drains."""
     root = scratch(spark, "layers")
     paths = drains.run_layers(spark, feeds.records(spark, sf_dir, streaming=True), root)
-    return candle_table(spark, paths["candles"]).drop("ingested_at")
+    return candle_table(spark, paths["candles"]).drop("ingested_at", CANDLE_DAY)

@@ -36,19 +36,18 @@ def to_candles(
     slot = F.window(moment, width)
     if trades.isStreaming:
         trades = trades.withWatermark(moment, lateness)
-    priced = F.when(
-        F.col("price").isNotNull(),
-        trade_order(F.col(moment), None if trade_id is None else F.col(trade_id)),
-    )
+    # A column of its own, so that it is computed once for both ends of the candle.
+    order = trade_order(F.col(moment), None if trade_id is None else F.col(trade_id))
+    trades = trades.withColumn("_order", F.when(F.col("price").isNotNull(), order))
     by_taker = F.when(~F.col("is_buyer_maker"), F.col("quantity")).otherwise(0.0)
     by_maker = F.when(F.col("is_buyer_maker"), F.col("quantity")).otherwise(0.0)
     return (
         trades.groupBy(slot.alias("slot"), "symbol")
         .agg(
-            F.min_by("price", priced).alias("open_price"),
+            F.min_by("price", "_order").alias("open_price"),
             F.max("price").alias("high_price"),
             F.min("price").alias("low_price"),
-            F.max_by("price", priced).alias("close_price"),
+            F.max_by("price", "_order").alias("close_price"),
             F.sum("quantity").alias("total_volume"),
             F.sum(by_taker).alias("buy_volume_taker"),
             F.sum(by_maker).alias("sell_volume_maker"),

@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from tapeworks import fixed_values as fv
 from tapeworks.functions.amounts import percent_change, percent_of
 from tapeworks.functions.moments import as_moment, horizon_start
+from tapeworks.schemas import CANDLE_DAY
 
 
 def recent(candles: DataFrame, as_of=None, horizon: str = fv.HORIZON) -> DataFrame:
-    """Candles from ``horizon`` before ``as_of`` on, bound included."""
-    return candles.filter(F.col("candle_start_time") >= horizon_start(as_moment(as_of), horizon))
+    """Candles from ``horizon`` before ``as_of`` on, bound included.
+
+    A stored candle table has a day partition; the same bound on it skips older folders.
+    """
+    bound = horizon_start(as_moment(as_of), horizon)
+    kept = candles.filter(F.col("candle_start_time") >= bound)
+    if CANDLE_DAY in candles.columns:
+        kept = kept.filter(F.col(CANDLE_DAY) >= F.to_date(bound))
+    return kept
 
 
 def latest_candles(candles: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions.amounts import percent_of
 from tapeworks.functions.moments import start_of
 from tapeworks.operators.candles import described_candles, merged_candles
+from tapeworks.schemas import CANDLE_DAY
 
 _HOURLY = {
     "open_price": "hourly_open",
@@ -48,7 +49,7 @@ def ohlc_summary(candles: DataFrame) -> DataFrame:
         name: folds.get(of, F.sum)(of).over(whole_hour) for of, name in _HOURLY.items()
     }
     return (
-        described_candles(candles.drop("ingested_at"))
+        described_candles(candles.drop("ingested_at", CANDLE_DAY))
         .withColumns(hourly)
         .withColumn(
             "hourly_buy_pct", percent_of(F.col("hourly_buy_vol"), F.col("hourly_volume"), 2)

@@ -94,22 +94,26 @@ def pipeline_health(candles: DataFrame, as_of=None, ordered: bool = True) -> Dat
     further aggregates of all candles. A window spans one symbol's hours or one day's
     hours, both limited by the calendar and not by the number of trades.
     """
-    day = start_of("day", F.col("ingestion_hour"))
-    of_symbol = Window.partitionBy("symbol")
+    # One shuffle and one sort per side: by symbol for its newest candle and for the first
+    # hour of each of its days (there the symbol counts as active), then by day.
+    of_symbol = Window.partitionBy("symbol").orderBy("ingestion_hour")
+    whole_symbol = of_symbol.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     of_day = Window.partitionBy("_day")
-    # A symbol counts once a day: in its first hour of that day.
-    first_hour = F.min("ingestion_hour").over(Window.partitionBy("_day", "symbol"))
     known = F.col("symbol").isNotNull()
-    counted = F.when(known & (F.col("ingestion_hour") == F.col("_first_hour")), 1).otherwise(0)
+    day_begins = ~F.lag("_day").over(of_symbol).eqNullSafe(F.col("_day"))
 
     rows = (
         hourly_ingestion(candles)
-        .withColumn("_day", day)
-        .withColumn("_first_hour", first_hour)
-        .withColumn("day_total_candles", F.sum("candles_count").over(of_day))
-        .withColumn("day_active_symbols", F.sum(counted).over(of_day).cast("bigint"))
-        .withColumn(
-            "latest_candle_time", F.when(known, F.max("latest_candle").over(of_symbol))
+        .withColumn("_day", start_of("day", F.col("ingestion_hour")))
+        .withColumns(
+            {"_day_begins": day_begins, "_latest": F.max("latest_candle").over(whole_symbol)}
+        )
+        .withColumns(
+            {
+                "day_total_candles": F.sum("candles_count").over(of_day),
+                "day_active_symbols": F.count_if(known & F.col("_day_begins")).over(of_day),
+                "latest_candle_time": F.when(known, F.col("_latest")),
+            }
         )
     )
     age = _age(F.col("latest_candle_time"), as_of)

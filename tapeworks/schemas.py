@@ -22,6 +22,9 @@ CANDLE = """
     trade_count bigint, ingested_at timestamp
 """
 
+# The partition column of a stored candle table: the day of the candle.
+CANDLE_DAY = "candle_day"
+
 SENTIMENT = "date date, fng_value int, fng_classification string, updated_at timestamp"
 
 # The keys of one wire message. A map keeps "absent" apart from "null".

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.operators.upsert import replaced_by_key
+from tapeworks.schemas import CANDLE_DAY
 
 
 def _folder(spark: SparkSession, path: str):
@@ -30,7 +31,7 @@ def replace_by_key(
     keys: list[str],
     moment: str,
     staging: str,
-    slice_by: str = "candle_day",
+    slice_by: str = CANDLE_DAY,
     spark: SparkSession | None = None,
 ) -> None:
     """Merge ``batch`` into the table at ``path``: equal keys are replaced.

@@ -53,5 +53,5 @@ def silver_days(
 
 
 def candle_table(spark: SparkSession, path: str) -> DataFrame:
-    """The candle table as written by the keyed sink, without its day partition."""
-    return spark.read.schema(schemas.CANDLE + ", candle_day date").parquet(path).drop("candle_day")
+    """The candle table as written by the keyed sink, with its day partition."""
+    return spark.read.schema(f"{schemas.CANDLE}, {schemas.CANDLE_DAY} date").parquet(path)
