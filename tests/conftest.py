@@ -24,6 +24,7 @@ def spark():
                 "spark.checkpoint.dir": shared,
                 "spark.sql.warehouse.dir": shared + "/warehouse",
                 "spark.driver.memory": "4g",
+                "spark.sql.maxMetadataStringLength": "2000",
             },
         )
         built.sparkContext.setLogLevel("ERROR")
