@@ -23,23 +23,24 @@ def normalize_envelopes(
     that is present but null is kept as null, except for the two amounts.
     """
     data = F.from_json(F.col(value).cast("string"), schemas.ENVELOPE)["data"]
-    fields = ("s", "p", "q", "T", "m")
-    present = F.lit(True)
-    for field in fields:
-        present = present & F.map_contains_key("data", F.lit(field))
+    complete = F.col("data").isNotNull()
+    for field in ("s", "p", "q", "T", "m"):
+        complete = complete & F.map_contains_key("data", F.lit(field))
+    record = F.struct(
+        F.lit(feed).alias("source"),
+        F.col("data")["s"].alias("symbol"),
+        parse_float(F.col("data")["p"]).alias("price"),
+        parse_float(F.col("data")["q"]).alias("quantity"),
+        F.col("data")["T"].try_cast("bigint").alias("trade_time"),
+        F.col("data")["m"].try_cast("boolean").alias("is_buyer_maker"),
+        F.date_format(as_moment(now), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"),
+    )
+    # Generators of one row, so that messages and numbers are parsed once. As plain columns
+    # they would be copied into every filter that Catalyst pushes below them.
     return (
-        envelopes.select(data.alias("data"))
-        .filter(F.col("data").isNotNull())
-        .filter(present)
-        .select(
-            F.lit(feed).alias("source"),
-            F.col("data")["s"].alias("symbol"),
-            parse_float(F.col("data")["p"]).alias("price"),
-            parse_float(F.col("data")["q"]).alias("quantity"),
-            F.col("data")["T"].try_cast("bigint").alias("trade_time"),
-            F.col("data")["m"].try_cast("boolean").alias("is_buyer_maker"),
-            F.date_format(as_moment(now), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"),
-        )
+        envelopes.select(F.explode(F.array(data)).alias("data"))
+        .filter(complete)
+        .select(F.inline(F.array(record)))
         .filter("price is not null and quantity is not null")
     )
 
