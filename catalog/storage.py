@@ -15,6 +15,7 @@ from tapeworks import schemas
 from tapeworks.operators.trades import with_calendar
 from tapeworks.operators.upsert import upsert
 from tapeworks.plans import layers
+from tapeworks.plans.backfill import backfill
 from tapeworks.plans.loads import load_trade_history
 from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
@@ -175,14 +176,22 @@ def candles_foreach_upsert(spark, sf_dir):
     return candle_table(spark, path).drop("ingested_at", CANDLE_DAY)
 
 
-@query(
-    f"""with {feeds.RECORDS_SQL},
+LAYERS_SQL = f"""with {feeds.RECORDS_SQL},
     kept as (
         select distinct symbol, price, quantity, is_buyer_maker, timestamp as trade_timestamp, 0 as event_id
         from decoded where price > 0 and quantity > 0),
     {feeds.candles_sql('candles', 'kept')}
-    select {CANDLE_COLUMNS} from candles {FINAL.format(source='kept')}"""
-)
+    select {CANDLE_COLUMNS} from candles"""
+
+
+@query(LAYERS_SQL)
+def layers_backfill(spark, sf_dir):
+    """The same three layers in batch, where every candle is final."""
+    paths = backfill(spark, feeds.records(spark, sf_dir), scratch(spark, "layers"))
+    return candle_table(spark, paths["candles"]).drop("ingested_at", CANDLE_DAY)
+
+
+@query(f"{LAYERS_SQL} {FINAL.format(source='kept')}")
 def layers_run(spark, sf_dir):
     """Messages through bronze and silver files to the candle table, three drains."""
     root = scratch(spark, "layers")

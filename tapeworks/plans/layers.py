@@ -31,7 +31,7 @@ def silver(
     records: DataFrame,
     keys: tuple[str, ...] = fv.DEDUP_KEYS,
     lateness: str = fv.LATENESS,
-    spread: int = 16,
+    collapse: bool = True,
     now: Column | None = None,
 ) -> DataFrame:
     """Valid, typed, distinct and enriched trades with their day.
@@ -41,7 +41,7 @@ def silver(
     """
     trades = standardized_trades(valid_trades(records))
     if trades.isStreaming:
-        trades = distinct_trades_stream(trades, keys, lateness=lateness, spread=spread)
+        trades = distinct_trades_stream(trades, keys, lateness=lateness, collapse=collapse)
     else:
         trades = distinct_trades(trades, keys)
     return with_calendar(enriched_trades(trades, now=now), "trade_timestamp")

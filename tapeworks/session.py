@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,12 +16,16 @@ SETTINGS = {
     # once the measured size of a side allows it.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Dedup keys do not fit the heap of an executor; keep stream state on its disk
-    # and upload changelogs instead of whole snapshots.
+}
+
+# Dedup keys do not fit the heap of an executor: keep stream state on its disk and
+# upload changelogs instead of whole snapshots.
+STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def build(app_name: str = "tapeworks", **extra: str) -> SparkSession:
@@ -30,6 +36,29 @@ def build(app_name: str = "tapeworks", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings for a stream that is started inside the block.
+
+    A stream copies its settings when it starts and splits its state for good, so the
+    number of partitions is chosen for the cores at hand and not by the default meant
+    for batches. State settings made by the caller stand.
+    """
+    wanted = {k: v for k, v in STATE_SETTINGS.items() if spark.conf.get(k, None) is None}
+    wanted[PARTITIONS] = str(partitions or spark.sparkContext.defaultParallelism)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Put an existing session on UTC, which every plan here assumes."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -17,7 +17,12 @@ def parquet_stream(
     max_files: int | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
-    """A file stream. ``max_files`` bounds the micro-batches of a large backlog."""
+    """A file stream. ``max_files`` bounds the micro-batches of a large backlog.
+
+    Files are taken in the order of their modification time. Under a watermark a bounded
+    backlog must therefore have been written roughly in the order of event time; one that
+    was not belongs into a single micro-batch, or into a batch run (``plans.backfill``).
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 def topic_options(servers: str, topic: str, starting: str = "latest", **extra: str) -> dict:
     """Options of one subscribed topic: begin at the head, survive expired offsets.
 
-    ``maxOffsetsPerTrigger`` and the like go into ``extra``.
+    Further options go into ``extra``: ``maxOffsetsPerTrigger`` bounds a micro-batch, and
+    ``minPartitions`` has several tasks read one large topic partition.
     """
     return {
         "kafka.bootstrap.servers": servers,

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks import fixed_values as fv
 from tapeworks.plans.layers import bronze, gold, silver
+from tapeworks.session import stream_settings
 from tapeworks.sinks.files import spread_writers
 from tapeworks.sinks.keyed import replace_by_key
 from tapeworks.sources.files import bronze_stream, silver_stream
@@ -24,18 +25,23 @@ def append_parquet(
     stream: DataFrame,
     path: str,
     checkpoint: str,
-    partitions: Sequence[str],
+    slices: Sequence[str],
     trigger: dict | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Append a stream to partitioned parquet; exactly once through the file log."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*partitions)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start(path)
-    )
+    """Append a stream to parquet by ``slices``; exactly once through the file log.
+
+    ``partitions`` is the number of state partitions of a new checkpoint.
+    """
+    with stream_settings(stream.sparkSession, partitions):
+        return (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .partitionBy(*slices)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start(path)
+        )
 
 
 def each_batch(
@@ -43,16 +49,18 @@ def each_batch(
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: dict | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Hand every micro-batch to ``write``. What it raises fails the query, so the
     checkpoint does not move past a batch that was not written."""
-    return (
-        stream.writeStream.outputMode("append")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with stream_settings(stream.sparkSession, partitions):
+        return (
+            stream.writeStream.outputMode("append")
+            .foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
 
 
 def drain_bronze(messages: DataFrame, path: str, checkpoint: str) -> None:
@@ -65,6 +73,7 @@ def drain_silver(
     path: str,
     checkpoint: str,
     files_per_day: int | None = None,
+    partitions: int | None = None,
     **options,
 ) -> None:
     """Bronze records to silver files by day.
@@ -75,10 +84,14 @@ def drain_silver(
     trades = silver(records, **options)
     if files_per_day:
         trades = spread_writers(trades, fv.SILVER_PARTITIONS, files_per_day, fv.DEDUP_KEYS)
-    append_parquet(trades, path, checkpoint, fv.SILVER_PARTITIONS).awaitTermination()
+    append_parquet(
+        trades, path, checkpoint, fv.SILVER_PARTITIONS, partitions=partitions
+    ).awaitTermination()
 
 
-def drain_gold(trades: DataFrame, path: str, checkpoint: str, **options) -> None:
+def drain_gold(
+    trades: DataFrame, path: str, checkpoint: str, partitions: int | None = None, **options
+) -> None:
     """Silver trades to the candle table, equal candles replaced.
 
     Staging lies below the checkpoint: a new checkpoint never meets old staging.
@@ -89,7 +102,9 @@ def drain_gold(trades: DataFrame, path: str, checkpoint: str, **options) -> None
         staging = f"{checkpoint}/staging/{batch_id}"
         replace_by_key(batch, path, CANDLE_KEYS, "candle_start_time", staging, spark=spark)
 
-    each_batch(gold(trades, **options), write, checkpoint).awaitTermination()
+    each_batch(
+        gold(trades, **options), write, checkpoint, partitions=partitions
+    ).awaitTermination()
 
 
 def run_layers(

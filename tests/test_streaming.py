@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeworks import schemas
-from tapeworks.operators.dedup import distinct_trades_stream
+from tapeworks.operators.dedup import collapsed_batches, distinct_trades_stream
 from tapeworks.plans import layers
+from tapeworks.plans.backfill import backfill
 from tapeworks.sinks import keyed
 from tapeworks.sinks.keyed import replace_by_key
 from tapeworks.sources.files import candle_table, parquet_stream, parquet_tree
@@ -95,8 +96,8 @@ def test_silver_drops_trades_behind_the_watermark(spark, tmp_path):
     assert rows(parquet_tree(spark, out, schemas.SILVER), "price") == [(1.0,), (3.0,)]
 
 
-@pytest.mark.parametrize("spread", [1, 4])
-def test_a_hot_copy_passes_once(spark, tmp_path, spread):
+@pytest.mark.parametrize("collapse", [True, False])
+def test_a_hot_copy_passes_once(spark, tmp_path, collapse):
     source, mark = str(tmp_path / "in"), str(tmp_path / "mark")
     feed = Feed(spark, source, TRADE)
     hot = ("A", 1.0, 1.0, at("10:00:00"), True)
@@ -104,7 +105,7 @@ def test_a_hot_copy_passes_once(spark, tmp_path, spread):
         others = [("B", float(i), 1.0, at("10:00:00"), True)]
         feed.add(trades(spark, *([hot] * 20), *others))
     seen = []
-    stream = distinct_trades_stream(feed.stream(max_files=3), spread=spread)
+    stream = distinct_trades_stream(feed.stream(max_files=3), collapse=collapse)
     drains.each_batch(stream, lambda df, i: seen.extend(df.collect()), mark).awaitTermination()
     assert sorted((r.symbol, r.price) for r in seen) == [("A", 1.0)] + [("B", float(i)) for i in range(6)]
 
@@ -184,3 +185,19 @@ def test_layers_in_sequence(spark, tmp_path):
         paths = drains.run_layers(spark, text_messages(spark, landed, streaming=True), root)
     found = rows(candle_table(spark, paths["candles"]), "candle_start_time", "trade_count")
     assert found == [(at(f"10:{i:02d}:00"), 1) for i in range(1, 29)]
+    for _ in range(2):
+        whole = backfill(spark, text_messages(spark, landed), str(tmp_path / "whole"))
+    every = candle_table(spark, whole["candles"]).drop("ingested_at")
+    assert every.count() == 39
+    streamed = candle_table(spark, paths["candles"]).drop("ingested_at")
+    assert rows(every.filter(F.col("candle_start_time") < at("10:29:00"))) == rows(streamed)
+
+
+def test_collapsed_batches_keep_first_rows_whole(spark):
+    made = [("A", 1.0, None, at("10:00:00"), True), ("B", 2.0, 1.0, at("10:00:00"), None),
+            ("A", 1.0, None, at("10:00:00"), False), (None, 1.0, 1.0, None, True),
+            (None, 1.0, 1.0, None, False)]
+    df = trades(spark, *made).coalesce(1)
+    kept = collapsed_batches(df, ["symbol", "trade_timestamp", "price", "quantity"])
+    assert kept.schema == df.schema
+    assert [tuple(r) for r in kept.collect()] == [made[0], made[1], made[3]]
