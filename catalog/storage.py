@@ -16,7 +16,9 @@ from tapeworks.operators.trades import with_calendar
 from tapeworks.operators.upsert import upsert
 from tapeworks.plans import layers
 from tapeworks.plans.backfill import backfill
-from tapeworks.plans.loads import load_trade_history
+from tapeworks.plans.loads import load_sentiment, load_trade_history
+from tapeworks.plans.marts import build_marts
+from tapeworks.plans.marts import mart_checks as verify
 from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
 from tapeworks.sinks import tables
@@ -44,6 +46,38 @@ def view_roundtrip(spark, sf_dir):
     return table(spark, name).groupBy("symbol").agg(F.count(F.lit(1)).alias("candles"))
 
 
+@query(
+    f"""{BASE},
+    recent as (select symbol from candles
+               where candle_start_time >= {feeds.AS_OF_SQL} - interval 24 hours group by symbol),
+    days as (select cast(candle_start_time as date) as date from candles
+             where symbol = 'PURCHASE' group by 1),
+    found as (
+        select 'market_overview.symbol not null' as "check",
+               count(*) filter (symbol is null) as failures from recent
+        union all select 'market_overview.symbol unique', count(*) - count(distinct symbol)
+            from recent
+        union all select 'ohlc_summary.candle_start_time not null',
+            count(*) filter (candle_start_time is null) from candles
+        union all select 'pipeline_health.ingestion_hour not null',
+            count(*) filter (candle_start_time is null) from candles
+        union all select 'price_vs_sentiment.date not null', count(*) filter (date is null) from days
+        union all select 'price_vs_sentiment.date unique', count(*) - count(distinct date) from days)
+    select *, failures <> 0 as should_warn, failures <> 0 as should_error from found"""
+)
+def mart_checks(spark, sf_dir):
+    """All marts rebuilt on disk, read back and checked."""
+    paths = build_marts(
+        spark,
+        candles(spark, sf_dir),
+        feeds.sentiment(spark, sf_dir),
+        scratch(spark, "marts"),
+        as_of=feeds.AS_OF,
+        symbol="purchase",
+    )
+    return verify({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
 # --- loads ------------------------------------------------------------------
 
 
@@ -84,6 +118,10 @@ def load_day(spark, sf_dir):
 
 @query(f"with {feeds.SENTIMENT_SQL} select date, fng_value, fng_classification from sentiment")
 def sentiment_parse(spark, sf_dir):
+    return _landed_readings(spark, sf_dir).drop("landed_at")
+
+
+def _landed_readings(spark, sf_dir):
     """One landed reply per day; each lists the day before as a second element."""
     path = scratch(spark, "replies")
 
@@ -97,7 +135,21 @@ def sentiment_parse(spark, sf_dir):
 
     reply = F.to_json(F.struct(F.array(element(0, 0), element(1, 7)).alias("data")))
     feeds.sentiment(spark, sf_dir).select(reply.alias("value")).write.text(path)
-    return newest_readings(index_replies(spark, path, one_per_line=True)).drop("landed_at")
+    return newest_readings(index_replies(spark, path, one_per_line=True))
+
+
+@query(
+    f"""with {feeds.SENTIMENT_SQL}
+    select date, fng_value, fng_classification, {feeds.AS_OF_SQL} as updated_at from sentiment"""
+)
+def sentiment_load(spark, sf_dir):
+    """The same replies loaded twice: the second load finds every day and stamps it."""
+    readings = _landed_readings(spark, sf_dir)
+    path, staging = scratch(spark, "sentiment"), scratch(spark, "staging")
+    stamped = F.lit(feeds.AS_OF).cast("timestamp")
+    for _ in range(2):
+        load_sentiment(spark, readings, path, staging, now=stamped)
+    return spark.read.schema(schemas.SENTIMENT).parquet(path)
 
 
 @query(

@@ -12,9 +12,19 @@ from tapeworks import fixed_values as fv
 _PARTS = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour}
 
 
+def plausible_ms(ms: Column) -> Column:
+    """Whether epoch milliseconds lie in the years 1 to 9999 that a timestamp covers."""
+    return ms.between(-62_135_596_800_000, 253_402_300_799_999)
+
+
 def from_epoch_ms(ms: Column) -> Column:
-    """Exact; dividing by 1000 would pass through a double."""
-    return F.timestamp_millis(ms)
+    """Exact; dividing by 1000 would pass through a double. NULL outside the range of a
+    timestamp, so that one absurd message cannot fail a run."""
+    return F.when(plausible_ms(ms), F.timestamp_millis(ms))
+
+
+def from_epoch_seconds(seconds: Column) -> Column:
+    return from_epoch_ms(F.when(F.abs(seconds) < 10**12, seconds * 1000))
 
 
 def from_iso(text: Column) -> Column:

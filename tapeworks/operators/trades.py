@@ -20,14 +20,14 @@ def valid_trades(records: DataFrame, ceiling: float = fv.PRICE_CEILING) -> DataF
     """Trades with a symbol, a time, and a plausible price and quantity.
 
     Plain comparisons on stored columns, so all of them reach the parquet scan.
-    A comparison with NULL is not true, which covers the null checks on amounts.
+    A comparison with NULL is not true, which covers the null checks.
     """
     return records.filter(
         (F.col("price") > 0)
         & (F.col("price") < ceiling)
         & (F.col("quantity") > 0)
         & F.col("symbol").isNotNull()
-        & F.col("trade_time").isNotNull()
+        & moments.plausible_ms(F.col("trade_time"))
     )
 
 

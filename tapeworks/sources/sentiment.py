@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks import schemas
+from tapeworks.functions.moments import from_epoch_seconds
 
 
 def index_replies(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
@@ -26,7 +27,7 @@ def newest_readings(replies: DataFrame) -> DataFrame:
     return (
         replies.select(head.alias("head"), "landed_at")
         .select(
-            F.to_date(F.timestamp_seconds(F.col("head.timestamp").try_cast("bigint"))).alias("date"),
+            F.to_date(from_epoch_seconds(F.col("head.timestamp").try_cast("bigint"))).alias("date"),
             F.col("head.value").try_cast("int").alias("fng_value"),
             F.col("head.value_classification").alias("fng_classification"),
             "landed_at",

@@ -149,3 +149,14 @@ def test_concat_fills_absent_columns(spark):
     a = spark.createDataFrame([(1, "x")], "id int, a string")
     b = spark.createDataFrame([("y", 2)], "b string, id int")
     assert rows(concat(a, b)) == [(1, "x", None), (2, None, "y")]
+
+
+def test_absurd_times_are_kept_in_bronze_and_dropped_in_silver(spark):
+    bodies = [json.dumps({"symbol": "A", "price": 1.0, "quantity": 1.0, "trade_time": t})
+              for t in (2**63 - 1, -(2**63), 253_402_300_800_000, 0)]
+    df = layers.bronze(texts(spark, *bodies))
+    assert rows(df, "trade_time", "year") == sorted(
+        [(0, 1970), (2**63 - 1, None), (-(2**63), None), (253_402_300_800_000, None)],
+        key=lambda r: str(r[0]),
+    )
+    assert rows(layers.silver(df), "year") == [(1970,)]
