@@ -22,7 +22,7 @@ from tapeworks.plans.marts import mart_checks as verify
 from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
 from tapeworks.sinks import tables
-from tapeworks.sinks.files import reload_slices
+from tapeworks.sinks.files import reload_slices, spread_writers
 from tapeworks.sources.files import candle_table, parquet_tree
 from tapeworks.sources.sentiment import index_replies, newest_readings
 from tapeworks.sources.tables import table
@@ -214,7 +214,8 @@ def candles_stream(spark, sf_dir):
     fresh = layers.gold(feed, trade_id="event_id").withColumn(
         CANDLE_DAY, F.to_date("candle_start_time")
     )
-    drains.append_parquet(fresh, path, path + "-checkpoint", [CANDLE_DAY]).awaitTermination()
+    gathered = spread_writers(fresh, [CANDLE_DAY], 1, ["symbol"])
+    drains.append_parquet(gathered, path, path + "-checkpoint", [CANDLE_DAY]).awaitTermination()
     return candle_table(spark, path).drop("ingested_at", CANDLE_DAY)
 
 
