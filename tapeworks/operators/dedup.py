@@ -20,7 +20,7 @@ _FIXED_WIDTH = (
 )
 
 
-def first_row_per_key(df: DataFrame, keys, *order) -> DataFrame:
+def first_row_per_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """The first row of every key under ``order``.
 
     The rank filter becomes a group limit before the shuffle too, so a key holding a
@@ -38,9 +38,10 @@ def distinct_trades(
     """One row per key, the one that arrived first.
 
     Copies are collapsed inside each input task before the shuffle. When every other
-    column is of fixed width this is a hash aggregate; a text column would turn that
-    into a sort of all rows twice over, and then a ranked group limit is no worse and
-    picks the same row on every run.
+    column is of fixed width this is a hash aggregate, and copies that arrived at the
+    same instant are interchangeable. A text column would turn it into a sort of all rows
+    twice over; then a ranked group limit is no worse, and it settles such ties by the
+    remaining columns.
     """
     payload = [f for f in trades.schema.fields if f.name not in keys]
     if all(isinstance(f.dataType, _FIXED_WIDTH) for f in payload):
@@ -96,7 +97,7 @@ def distinct_trades_stream(
     third of a micro-batch would load a single task. ``collapse`` therefore drops copies
     inside each Arrow batch first, which leaves one row of such a key per some thousand.
     The result is the same. Built-in operators could only do this with a second state
-    store on salted keys, which measured about twice as slow as the whole dedup.
+    store on salted keys, which made the whole dedup nearly twice as slow.
     """
     if collapse:
         trades = collapsed_batches(trades, keys)

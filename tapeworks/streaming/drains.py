@@ -63,9 +63,19 @@ def each_batch(
         )
 
 
-def drain_bronze(messages: DataFrame, path: str, checkpoint: str) -> None:
-    """Messages to bronze files by hour."""
-    append_parquet(bronze(messages), path, checkpoint, fv.BRONZE_PARTITIONS).awaitTermination()
+def drain_bronze(
+    messages: DataFrame, path: str, checkpoint: str, files_per_hour: int | None = None
+) -> None:
+    """Messages to bronze files by hour.
+
+    Without a shuffle: every task writes the hours it has read. ``files_per_hour`` adds
+    one, for topics read by so many tasks that their files would be small.
+    """
+    records = bronze(messages)
+    if files_per_hour:
+        spread_by = ["symbol", "trade_time"]
+        records = spread_writers(records, fv.BRONZE_PARTITIONS, files_per_hour, spread_by)
+    append_parquet(records, path, checkpoint, fv.BRONZE_PARTITIONS).awaitTermination()
 
 
 def drain_silver(

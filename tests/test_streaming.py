@@ -122,11 +122,12 @@ def test_failing_sink_fails_the_run_and_loses_nothing(spark, tmp_path):
     assert collected(layers.gold(feed.stream()), mark) == [(at("10:00:00"), 1)]
 
 
-def test_bronze_keeps_malformed_messages_apart(spark, tmp_path):
+@pytest.mark.parametrize("files", [None, 1])
+def test_bronze_keeps_malformed_messages_apart(spark, tmp_path, files):
     landed, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     good = '{"source":"f","symbol":"A","price":1.0,"quantity":1.0,"trade_time":0,"is_buyer_maker":true}'
     spark.createDataFrame([(good,), ("not json",)], "value string").coalesce(1).write.text(landed)
-    drains.drain_bronze(text_messages(spark, landed, streaming=True), out, mark)
+    drains.drain_bronze(text_messages(spark, landed, streaming=True), out, mark, files)
     assert (tmp_path / "out" / "year=__HIVE_DEFAULT_PARTITION__").is_dir()
     assert rows(parquet_tree(spark, out, schemas.BRONZE), "symbol", "year", "hour") == [
         ("A", 1970, 0), (None, None, None),
