@@ -37,7 +37,10 @@ def marts(candles: DataFrame, sentiment: DataFrame, as_of=None, **pair) -> dict[
 def build_marts(
     spark: SparkSession, candles: DataFrame, sentiment: DataFrame, root: str, as_of=None, **pair
 ) -> dict[str, str]:
-    """Write each mart below ``root``, replacing the previous one; returns the paths."""
+    """Write each mart below ``root``, replacing the previous one; returns the paths.
+
+    Pass a stored candle table: every mart reads the columns it needs on its own.
+    """
     paths = {}
     for name, mart in marts(candles, sentiment, as_of, **pair).items():
         paths[name] = f"{root}/{name}"
