@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from catalog import layers
+from catalog.registry import ORACLES, QUERIES
 from tapeworks.operators.gaps import missing_candles
 from tapeworks.plans.pipeline_health import hourly_ingestion
 from tests.oracle import connect, differences
@@ -16,10 +17,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
     df = contract.queries()[name](spark, sf_dir)
     assert differences(df, contract.oracle_sql()[name], con) == []
