@@ -99,6 +99,12 @@ def running(
     )
 
 
+def first_rows(docs: DataFrame, key: str, nth: str) -> DataFrame:
+    """``docs`` with ``key``, one row of those that have the same."""
+    nth_row = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return docs.withColumn(key, row_key()).withColumn(nth, nth_row).filter(F.col(nth) == 1)
+
+
 def attach(docs: DataFrame, plan: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``docs`` with ``columns`` of ``plan``, which has one row for each row of ``docs``.
 
