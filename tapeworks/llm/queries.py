@@ -13,6 +13,7 @@ from tapeworks.llm import (
     chat,
     decontamination,
     fingerprints,
+    licences,
     line_runs,
     mixing,
     quality,
@@ -267,3 +268,93 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("replies", "").cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+_LICENCE_SQL = r"""
+with template_texts as (
+    select * from (values {templates}) t(number, licence, unit)
+), files as (
+    select doc_id, source || '/' || lang || '/' || (doc_id // 100) || '/' || doc_id as path,
+        source || '/' || lang || '/' || (doc_id // 100) as directory,
+        coalesce(text, '') as text
+    from documents
+), lines as (
+    select doc_id, directory, length(text) as chars, unnest(string_split(text, chr(10))) as unit
+    from files
+), units as (
+    select doc_id, directory, unit,
+        sum(length(unit)) over (partition by doc_id) * 2 >= chars as is_licence_file
+    from lines where regexp_matches(unit, '{mention}')
+), distinct_units as (
+    select unit, count(*) as times from units group by unit
+), unit_terms as (
+    select unit, times, term, count(*) as tf
+    from (select unit, times, unnest(regexp_extract_all(translate(unit,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}')) as term
+          from distinct_units)
+    group by all
+), spread as (
+    select term, sum(times) as df from unit_terms group by term
+), total as (
+    select count(*) as n from units
+), weights as (
+    select unit, term, tf * (ln((1 + n) / (1 + df)) + 1) as weight
+    from unit_terms join spread using (term), total
+), template_terms as (
+    select number, licence, term, count(*) as tf
+    from (select number, licence, unnest(regexp_extract_all(translate(unit,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}')) as term
+          from template_texts)
+    group by all
+), template_weights as (
+    select number, licence, term, tf * (ln((1 + n) / (1 + coalesce(df, 0))) + 1) as weight
+    from template_terms left join spread using (term), total
+), cosines as (
+    select p.unit, t.licence, round(p.product / sqrt(s.square * t.square), 6) as cosine
+    from (select w.unit, t.number, sum(w.weight * t.weight) as product
+          from weights w join template_weights t using (term) group by all) p
+    join (select unit, sum(weight * weight) as square from weights group by unit) s using (unit)
+    join (select number, licence, sum(weight * weight) as square from template_weights
+          group by all) t using (number)
+), nearest as (
+    select unit, licence, cosine from cosines
+    qualify row_number() over (partition by unit order by cosine desc, licence) = 1
+), found as (
+    select u.*, n.licence, n.cosine from units u join nearest n using (unit) where n.cosine >= 0.6
+), own as (
+    select doc_id, licence, cosine from found
+    qualify row_number() over (partition by doc_id order by cosine desc, licence) = 1
+), given as (
+    select directory, licence, cosine from found where is_licence_file
+    qualify row_number() over (partition by directory order by cosine desc, licence) = 1
+), above as (
+    select doc_id, g.licence, g.cosine, g.directory
+    from files f join given g on f.directory = g.directory or starts_with(f.directory, g.directory || '/')
+    qualify row_number() over (partition by doc_id order by length(g.directory) desc) = 1
+)
+select f.doc_id, path, coalesce(o.licence, a.licence) as licence, coalesce(o.cosine, a.cosine) as cosine,
+    case when o.licence is not null then 'own' when a.licence is not null then 'inherited' end as origin,
+    case when o.licence is null then a.directory end as licence_dir
+from files f left join own o using (doc_id) left join above a using (doc_id)
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query(
+    _LICENCE_SQL.format(
+        templates=", ".join(
+            f"({number}, {_quoted(licence)}, {_quoted(text)})"
+            for number, (licence, text) in enumerate(licences.TEMPLATES)
+        ),
+        mention=licences.MENTION,
+        term=licences.TERM,
+    )
+)
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of each document, its own or that of its source, language and hundred."""
+    hundred = F.floor(F.col("doc_id") / 100).cast("string")
+    path = F.concat_ws("/", "source", "lang", hundred, F.col("doc_id").cast("string"))
+    return licences.scanned(table(spark, sf_dir, "documents"), path).drop("row_key")
