@@ -13,14 +13,15 @@ The container is Parquet, one row per shard, written by the tasks that made the
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,8 +38,9 @@ RULES = 15_000
 ROUNDS = 6
 RULES_A_ROUND = 4_000
 END_ID = 2
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Pieces and words whose ids a Python worker remembers, before it forgets the older half.
+REMEMBERED = 500_000
+_ODD_SPACE = re.compile(r" (?:\s|$)")
 _TEXTS_AT_ONCE = 500
 _COUNT_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -49,19 +51,54 @@ _FILE = (
 )
 
 
+# How byte-level tokenizers cut a text into words, and the bytes that stand
+# for themselves in their alphabet; the others are numbered from 256 on.
+_WORDS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+_THEMSELVES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+
+
+def _alphabet() -> dict[int, str]:
+    others = [b for b in range(256) if b not in _THEMSELVES]
+    return {b: chr(b) for b in _THEMSELVES} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class Memory(dict):
+    """What was asked for lately: when it is full, only the younger half is kept."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def recall(self, keys: set) -> set:
+        """Keep of ``keys`` what is still known, and return the others."""
+        known = keys & self.older.keys()
+        self.update((key, self.older[key]) for key in known)
+        return keys - known
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of texts from a tokenizer file.
 
-    Byte-level tokenizers cut at every space before a character that is no white space.
-    There the pieces between such spaces are encoded once and remembered. Other
+    Byte-level tokenizers begin a word at every space before a character that is no white
+    space. The pieces between such spaces are encoded once and remembered, and so are
+    the words that the tokenizer cuts them into; the tokenizer's model encodes these. Other
     tokenizers encode whole texts.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         parts = json.loads(self.tokenizer.to_str())
         before = parts.get("pre_tokenizer") or {}
+        self.special = [x["content"] for x in parts["added_tokens"]]
         self.by_pieces = (
             parts.get("normalizer") is None
             and before.get("type") == "ByteLevel"
@@ -72,35 +109,60 @@ class Encoder:
                 for x in parts["added_tokens"]
             )
         )
-        self.known: dict[str, bytes] = {}  # pieces after a space
-        self.first: dict[str, bytes] = {}  # pieces at the beginning of a text
+        self.alphabet = _alphabet()
+        self.spaced = Memory(REMEMBERED)  # pieces behind a space
+        self.first = Memory(REMEMBERED)  # pieces at the beginning of a text
+        self.words = Memory(REMEMBERED)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_pieces:
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             return [np.array(x.ids, np.uint32) for x in found]
-        cut = [self._pieces(text) for text in texts]
-        if len(self.known) + len(self.first) > REMEMBERED:
-            self.known, self.first = {}, {}
-        self._learn(self.first, {pieces[0] for pieces in cut}, "")
-        self._learn(self.known, set(chain.from_iterable(pieces[1:] for pieces in cut)), " ")
+        for memory in (self.spaced, self.first, self.words):
+            memory.age()
+        firsts, pieces = [], []
+        for text in texts:
+            first, *others = self._pieces(text)
+            firsts.append(first)
+            pieces.append(others)
+        ids = [list(map(self.spaced.get, own)) for own in pieces]
+        open_ = [k for k, own in enumerate(ids) if None in own]
+        new = {p for k in open_ for p, i in zip(pieces[k], ids[k], strict=True) if i is None}
+        self._learn(self.spaced, new, " ")
+        self._learn(self.first, set(firsts).difference(self.first), "")
+        for k in open_:
+            ids[k] = map(self.spaced.__getitem__, pieces[k])
         return [
-            np.frombuffer(
-                self.first[pieces[0]] + b"".join(map(self.known.__getitem__, pieces[1:])), np.uint32
-            )
-            for pieces in cut
+            np.frombuffer(self.first[first] + b"".join(own), np.uint32)
+            for first, own in zip(firsts, ids, strict=True)
         ]
 
-    def _learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> None:
-        new = list(pieces.difference(known))
-        found = self.tokenizer.encode_batch_fast([before + x for x in new], add_special_tokens=False)
-        for piece, encoding in zip(new, found, strict=True):
-            known[piece] = np.array(encoding.ids, np.uint32).tobytes()
+    def _learn(self, memory: Memory, pieces: set[str], before: str) -> None:
+        new = list(memory.recall(pieces))
+        cut = [self._words(before + piece) for piece in new]
+        words = {word for own in cut for word in own}
+        for word in self.words.recall(words.difference(self.words)):
+            mapped = word.encode().decode("latin-1").translate(self.alphabet)
+            self.words[word] = np.array([x.id for x in self.model.tokenize(mapped)], np.uint32).tobytes()
+        for piece, own in zip(new, cut, strict=True):
+            memory[piece] = b"".join(map(self.words.__getitem__, own))
+        for piece in new:
+            if any(special in piece for special in self.special):
+                whole = self.tokenizer.encode(before + piece, add_special_tokens=False)
+                memory[piece] = np.array(whole.ids, np.uint32).tobytes()
+
+    @staticmethod
+    def _words(piece: str) -> list[str]:
+        # Letters and a few marks behind them need no pattern.
+        letters = piece.rstrip(".,")
+        if letters[1:].isalpha() and (letters[0] == " " or letters[0].isalpha()):
+            return [letters, piece[len(letters) :]] if len(letters) < len(piece) else [letters]
+        return _WORDS.findall(piece)
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
         pieces = text.split(" ")
-        if "" not in pieces[1:] and not any(x[0].isspace() for x in pieces[1:]):
+        if not _ODD_SPACE.search(text):
             return pieces
         # A space before white space or at the end is no cut.
         joined = pieces[:1]
