@@ -49,10 +49,12 @@ def plan(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFra
     bits = frames.lane_bits(rows)
     one = narrow.withColumn("all", F.lit(0))
     ranked = frames.running(one, ["all"], "spread", ["row_key"], F.lit(1), "rank", bits)
-    linked = (
+    # Stored, here and below, so that a join with it may split the rows of a large link.
+    linked = frames.stored(
         narrow.groupBy("link", "text_crc32")
         .agg(F.count("*").alias("together"))
-        .filter("together > 1")
+        .filter("together > 1"),
+        "links",
     )
     state = frames.stored(
         ranked.withColumn("shard", (F.col("rank") % shards).cast("int"))
@@ -90,6 +92,7 @@ def _round(state: DataFrame, shards: int, capacity: int, bits: int) -> DataFrame
         .filter("home IS NOT NULL")
         .select(*link, "home", "full")
     )
+    homes = frames.stored(homes, "shard-homes")
     asked = state.join(homes, link, "left").withColumn(
         "wish",
         F.when(
