@@ -5,6 +5,8 @@ A text's words (anything between white space, A-Z lower-cased) give shingles of
 universal hash functions a * x + b modulo 2**64, of which the upper half counts, orders
 all shingles, and the signature holds the least value of each. Two texts agree in a share
 of their signatures that estimates the Jaccard similarity of their shingle sets.
+
+``compared`` gives fingerprints, ``near_duplicates`` joins their bands and verifies.
 """
 
 from __future__ import annotations
@@ -17,11 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.llm import frames, shipping, texts
+from tapeworks.llm import components, frames, shipping, texts
 
 SHINGLE = 5
 SIZE = 128
 SEED = 7
+#: Bands of rows: texts of similarity 0.8 share one with a probability above 0.9999.
+BANDS, ROWS = 25, 5
+LEAST_SIMILARITY = 0.8
 #: Bytes of texts whose shingles are permuted at once, so that they stay in the cache.
 _AT_ONCE = 1 << 18
 _NONE = np.uint64(0xFFFFFFFF)
@@ -204,3 +209,106 @@ def _ranges(docs: DataFrame, ranges: int) -> tuple[Column, dict[int, int]]:
     if nameless["head"] is not None:
         heads[ranges] = nameless["head"]
     return bucket, heads
+
+
+def signed(docs: DataFrame) -> DataFrame:
+    """(row_key, doc_id, node, signature) of each row; ``node`` is a hash of its text."""
+    factors, summands = functions()
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = signatures(part["text"], factors, summands)
+            flat = pa.array(found.astype(np.int64).reshape(-1))
+            ends = pa.array(np.arange(0, found.size + 1, found.shape[1], dtype=np.int32))
+            kept = [part[c] for c in ("row_key", "doc_id", "node")]
+            yield pa.record_batch(
+                [*kept, pa.ListArray.from_arrays(ends, flat)], ["row_key", "doc_id", "node", "signature"]
+            )
+
+    own = docs.select(
+        frames.row_key().alias("row_key"), "doc_id", F.xxhash64(frames.whole_text()).alias("node"), "text"
+    )
+    schema = f"row_key long, doc_id {_kind(docs)}, node long, signature array<long>"
+    return shipping.map_batches(own, batches, schema)
+
+
+def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles): the set of shingle hashes of each text among ``nodes``."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found: list[np.ndarray] = []
+            for _, data, offsets in texts.slices(part["text"]):
+                hashes, first = shingles(data, offsets)
+                whole = hashes.astype(np.int64)
+                found += [np.unique(whole[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.record_batch(
+                [part["node"], pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"]
+            )
+
+    text = frames.whole_text()
+    own = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
+    wanted = own.join(nodes.distinct(), "node", "left_semi").dropDuplicates(["node"])
+    return shipping.map_batches(wanted, batches, "node long, shingles array<long>")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs (node, other) whose shingle sets are as similar as ``least``."""
+    pairs = frames.stored(pairs.distinct(), "candidates")
+    nodes = pairs.select("node").unionByName(pairs.select(F.col("other").alias("node")))
+    sets = frames.stored(_sets(docs, nodes), "shingle-sets")
+    others = sets.select(F.col("node").alias("other"), F.col("shingles").alias("other_shingles"))
+    both = pairs.join(sets, "node").join(others, "other")
+    shared = F.size(F.array_intersect("shingles", "other_shingles"))
+    every = F.size("shingles") + F.size("other_shingles") - shared
+    # Without shingles on both sides the texts count as alike.
+    alike = F.when(every == 0, F.lit(1.0)).otherwise(shared / every)
+    return both.filter(alike >= least).select("node", "other")
+
+
+def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(row_key, doc_id, class_id) of each row: classes that similar texts connect.
+
+    Signatures are cut into bands; texts with an equal band are candidates, and the
+    Jaccard similarity of their shingle sets decides. First every text of a band is
+    compared with the first one of it. Then only texts of the same band are compared that
+    are not yet connected. So a large group of near copies makes as many pairs as it has
+    texts, and no link between different texts is lost.
+
+    ``class_id`` is the smallest doc_id of the class, NULL if all of its ids are. NULL,
+    empty and wordless texts are one class. An empty table gives no rows.
+    """
+    marked = frames.stored(signed(docs), "signatures")
+    signatures_ = marked.groupBy("node").agg(F.first("signature").alias("signature"))
+    band = F.explode(
+        F.array(
+            *(F.xxhash64(F.lit(k), F.slice("signature", k * ROWS + 1, ROWS)) for k in range(BANDS))
+        )
+    ).alias("band")
+    banded = frames.stored(signatures_.select("node", band), "bands")
+    shared = (
+        banded.groupBy("band")
+        .agg(F.min("node").alias("other"), F.count("*").alias("texts"))
+        .filter("texts > 1")
+    )
+    centred = frames.stored(banded.join(shared, "band").drop("texts"), "centred-bands")
+    first = centred.filter("node <> other").select("node", "other")
+    links = frames.stored(_verified(docs, first, least), "verified")
+    roots = frames.stored(components.connected(links), "roots")
+    member = centred.select("band", "node").join(roots, "node", "left").select(
+        "band", "node", F.coalesce("root", "node").alias("root")
+    )
+    mixed = (
+        member.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter("low < high")
+    )
+    open_ = frames.stored(member.join(mixed.select("band"), "band"), "open-bands")
+    right = open_.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
+    second = open_.join(right, "band").filter("root < other_root").select("node", "other")
+    more = _verified(docs, second, least)
+    classes = components.connected(links.unionByName(more))
+    placed = marked.select("row_key", "doc_id", "node").join(
+        frames.stored(classes, "classes"), "node", "left"
+    ).withColumn("root", F.coalesce("root", "node"))
+    ids = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    return placed.join(frames.stored(ids, "class-ids"), "root").select("row_key", "doc_id", "class_id")
