@@ -74,6 +74,11 @@ trades as (
 """
 
 
+# When a candle of the event feed was ingested: not in the order of the candles.
+INGESTED_SQL = """candle_start_time
+    + interval 1 second * (60 + extract(minute from candle_start_time) * 617 % 3600)"""
+
+
 def faulty_trades(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Trades with planted defects, the whole feed delivered twice.
 
@@ -141,13 +146,15 @@ kept as (
 
 def records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Keyed messages as a topic would deliver them; where k is 13 the text is no JSON."""
+    return records_of(trades(spark, sf_dir, streaming))
+
+
+def records_of(trades: DataFrame) -> DataFrame:
     record = F.struct(
         "source", "symbol", "price", "quantity", "trade_time", "is_buyer_maker", "ingested_at"
     )
     body = F.when(F.col("quantity") == 13, F.lit("not json")).otherwise(F.to_json(record))
-    return trades(spark, sf_dir, streaming).select(
-        F.col("symbol").alias("key"), body.alias("value")
-    )
+    return trades.select(F.col("symbol").alias("key"), body.alias("value"))
 
 
 RECORDS_SQL = TRADES_SQL + """,

@@ -23,11 +23,11 @@ DAY_PARTS = """, cast(year(trade_timestamp) as integer) as year,
 
 
 def candles(spark, sf_dir, **options):
-    """Candles of the event feed, stamped as ingested at the fixed moment."""
-    stamped = F.lit(feeds.AS_OF).cast("timestamp")
-    return to_candles(
-        feeds.timed_trades(spark, sf_dir), trade_id="event_id", now=stamped, **options
-    )
+    """Candles of the event feed, each ingested at a time of its own (``feeds.INGESTED_SQL``)."""
+    start = F.col("candle_start_time")
+    after = F.make_dt_interval(secs=60 + F.minute(start) * 617 % 3600)
+    made = to_candles(feeds.timed_trades(spark, sf_dir), trade_id="event_id", **options)
+    return made.withColumn("ingested_at", start + after)
 
 
 # --- messages ---------------------------------------------------------------
@@ -73,6 +73,23 @@ def rejected_messages(spark, sf_dir):
     return messages.undecodable(decoded).agg(F.count(F.lit(1)).alias("rejected"))
 
 
+@query(
+    f"""with {feeds.TRADES_SQL}
+    select cast(count(*) filter (quantity = 13) as bigint) as undecodable,
+           cast(count(*) filter (quantity = 19) as bigint) as untimed
+    from trades"""
+)
+def rejected_counts(spark, sf_dir):
+    """Messages that end in bronze: no JSON, or a time beyond the calendar."""
+    time = F.when(F.col("quantity") == 19, F.lit(2**62)).otherwise(F.col("trade_time"))
+    far = feeds.trades(spark, sf_dir).withColumn("trade_time", time)
+    bronze = layers.bronze(feeds.records_of(far))
+    return bronze.agg(
+        F.count_if(F.col("symbol").isNull()).alias("undecodable"),
+        F.count_if(messages.untimed(F.col("trade_time"), F.col("timestamp"))).alias("untimed"),
+    )
+
+
 @query(
     f"""with {feeds.TRADES_SQL}
     select symbol as key, source, symbol, price, quantity, trade_time, is_buyer_maker, ingested_at
@@ -164,6 +181,33 @@ HOURLY_SQL = f"""with {feeds.TRADES_SQL},
     {feeds.candles_sql('candles', bucket='interval 1 hour')} select {CANDLE_COLUMNS} from candles"""
 
 
+TIED_SQL = f"""with {feeds.TRADES_SQL},
+    tied as (
+        select *, time_bucket(interval 10 minutes, trade_timestamp) as instant,
+               round(price * 100000000)::bigint as p, round(quantity * 100000000)::bigint as q
+        from trades),
+    turned as (
+        select *, ((p % 65521) * 31 + (q % 65521) * 17) % 65521 * 100000000000000
+               + p % 100000000000000 as turn
+        from tied)
+    select instant as candle_start_time, symbol, arg_min(price, turn) as open_price,
+           max(price) as high_price, min(price) as low_price, arg_max(price, turn) as close_price,
+           sum(quantity) as total_volume,
+           coalesce(sum(quantity) filter (where not is_buyer_maker), 0) as buy_volume_taker,
+           coalesce(sum(quantity) filter (where is_buyer_maker), 0) as sell_volume_maker,
+           count(*) as trade_count
+    from turned group by 1, 2"""
+
+
+@query(TIED_SQL)
+def candles_tied(spark, sf_dir):
+    """Trades moved to a few instants and without an id: their content orders them."""
+    moved = feeds.timed_trades(spark, sf_dir).withColumn(
+        "trade_timestamp", F.window("trade_timestamp", "10 minutes")["start"]
+    )
+    return to_candles(moved.drop("event_id")).drop("ingested_at")
+
+
 @query(HOURLY_SQL)
 def candles_1h(spark, sf_dir):
     return candles(spark, sf_dir, width="1 hour").drop("ingested_at")

@@ -12,6 +12,7 @@ from tapeworks.operators import checks
 from tapeworks.operators.candles import described_candles
 from tapeworks.operators.dedup import first_row_per_key
 from tapeworks.operators.gaps import missing_candles as find_gaps
+from tapeworks.operators.gaps import missing_spans as find_spans
 from tapeworks.plans import dashboards
 from tapeworks.plans import market_overview as overview
 from tapeworks.plans import marts as mart_plans
@@ -65,20 +66,16 @@ def stats_24h(spark, sf_dir):
 
 @query(
     f"""{BASE},
-    stats as (select symbol, {STATS} from candles where {RECENT} group by symbol),
-    newest as (select symbol, close_price as current_price, candle_start_time as last_updated
-               from candles
-               qualify row_number() over (partition by symbol order by candle_start_time desc) = 1),
-    oldest as (select symbol, open_price as open_price_24h from candles where {RECENT}
-               qualify row_number() over (partition by symbol order by candle_start_time) = 1)
-    select symbol, current_price, open_price_24h, high_24h, low_24h,
+    recent as (
+        select symbol, {STATS}, arg_max(close_price, candle_start_time) as current_price,
+               arg_min(open_price, candle_start_time) as open_price_24h,
+               max(candle_start_time) as last_updated
+        from candles where {RECENT} group by symbol)
+    select *, current_price - open_price_24h as price_change_24h,
            round((current_price - open_price_24h) / nullif(open_price_24h, 0) * 100, 2)
                as price_change_pct_24h,
-           current_price - open_price_24h as price_change_24h,
-           volume_24h, buy_volume_24h, sell_volume_24h,
-           round(buy_volume_24h / nullif(volume_24h, 0) * 100, 2) as buy_ratio_pct,
-           total_trades_24h, last_updated
-    from stats left join newest using (symbol) left join oldest using (symbol)"""
+           round(buy_volume_24h / nullif(volume_24h, 0) * 100, 2) as buy_ratio_pct
+    from recent"""
 )
 def market_overview(spark, sf_dir):
     return overview.market_overview(candles(spark, sf_dir), feeds.AS_OF)
@@ -152,14 +149,14 @@ HEALTH = f"""{BASE},
 hourly as (
     select date_trunc('hour', candle_start_time) as ingestion_hour, symbol,
            count(*) as candles_count, cast(sum(trade_count) as bigint) as total_trades,
-           sum(total_volume) as total_volume, {feeds.AS_OF_SQL} as last_ingested_at,
+           sum(total_volume) as total_volume, max({feeds.INGESTED_SQL}) as last_ingested_at,
            min(candle_start_time) as earliest_candle, max(candle_start_time) as latest_candle,
            cast(round(count(*) / 60.0 * 100, 1) as double) as completeness_pct,
            60 - count(*) as missing_candles
     from candles group by 1, 2),
 ages as (
     select symbol, max(candle_start_time) as latest_candle_time,
-           {feeds.AS_OF_SQL} as latest_ingestion_time,
+           max({feeds.INGESTED_SQL}) as latest_ingestion_time,
            epoch_us({feeds.AS_OF_SQL} - max(candle_start_time)) / 6e7 as minutes_since_last_candle
     from candles group by symbol),
 fresh as (
@@ -193,12 +190,22 @@ def daily_summary(spark, sf_dir):
 
 
 @query(
-    f"""{HEALTH} select h.*, f.latest_candle_time, f.minutes_since_last_candle,
-           f.freshness_status, d.total_candles as day_total_candles,
-           d.active_symbols as day_active_symbols, d.daily_completeness_pct
-    from hourly h left join fresh f using (symbol)
-    left join daily d on date_trunc('day', h.ingestion_hour) = d.date
-    order by h.ingestion_hour desc, h.symbol"""
+    f"""{HEALTH},
+    placed as (
+        select *, max(latest_candle) over (partition by symbol) as latest_candle_time,
+               cast(sum(candles_count) over one_day as bigint) as day_total_candles,
+               count(distinct symbol) over one_day as day_active_symbols
+        from hourly window one_day as (partition by date_trunc('day', ingestion_hour))),
+    aged as (
+        select *, epoch_us({feeds.AS_OF_SQL} - latest_candle_time) / 6e7
+                   as minutes_since_last_candle,
+               round(day_total_candles / (day_active_symbols * 24.0 * 60) * 100, 1)::double
+                   as daily_completeness_pct
+        from placed)
+    select *, case when minutes_since_last_candle > 30 then 'Dead ❌'
+                   when minutes_since_last_candle > 5 then 'Stale ⚠️' else 'Fresh ✅' end
+               as freshness_status
+    from aged"""
 )
 def pipeline_health(spark, sf_dir):
     return health.pipeline_health(candles(spark, sf_dir), feeds.AS_OF)
@@ -218,6 +225,25 @@ def missing_candles(spark, sf_dir):
     return find_gaps(candles(spark, sf_dir))
 
 
+@query(
+    f"""{BASE},
+    hours as (
+        select symbol, date_trunc('hour', candle_start_time) as span_start, 60 - count(*) as missing_minutes
+        from candles group by 1, 2),
+    runs as (
+        select symbol, span_start + interval 1 hour as span_start,
+               lead(span_start) over (partition by symbol order by span_start) as span_end
+        from hours)
+    select symbol, span_start, span_start + interval 1 hour as span_end, missing_minutes
+    from hours where missing_minutes > 0
+    union all
+    select symbol, span_start, span_end, epoch_us(span_end - span_start) // 60000000
+    from runs where span_end > span_start"""
+)
+def missing_spans(spark, sf_dir):
+    return find_spans(candles(spark, sf_dir))
+
+
 # --- sentiment --------------------------------------------------------------
 
 PRICES = f"""{BASE}, {feeds.SENTIMENT_SQL},
@@ -313,14 +339,31 @@ def check_null_counts(spark, sf_dir):
 
 @query(
     f"""{BASE},
+    faulty as (
+        select symbol, candle_start_time from candles
+        union all select symbol, candle_start_time from candles
+            where extract(minute from candle_start_time) = 7
+        union all select null, candle_start_time from candles
+            where extract(minute from candle_start_time) = 11
+        union all select symbol, null from candles
+            where extract(minute from candle_start_time) = 13),
     found as (
-        select 'symbol not null' as "check", count(*) filter (symbol is null) as failures from candles
+        select 'symbol not null' as "check", count(*) filter (symbol is null) as failures from faulty
         union all
-        select 'candle_start_time not null', count(*) filter (candle_start_time is null) from candles
+        select 'candle_start_time not null', count(*) filter (candle_start_time is null) from faulty
         union all
         select 'candle unique', count(*) from (
-            select 1 from candles group by symbol, candle_start_time having count(*) > 1))
+            select 1 from faulty where symbol is not null and candle_start_time is not null
+            group by symbol, candle_start_time having count(*) > 1))
     select *, failures <> 0 as should_warn, failures <> 0 as should_error from found"""
 )
 def candle_checks(spark, sf_dir):
-    return mart_plans.candle_checks(candles(spark, sf_dir))
+    """Candles with some twice, some without a symbol and some without a time."""
+    every = candles(spark, sf_dir)
+    minute = F.minute("candle_start_time")
+    nameless = every.filter(minute == 11).withColumn("symbol", F.lit(None).cast("string"))
+    untimed = every.filter(minute == 13).withColumn(
+        "candle_start_time", F.lit(None).cast("timestamp")
+    )
+    faulty = every.unionByName(every.filter(minute == 7)).unionByName(nameless)
+    return mart_plans.candle_checks(faulty.unionByName(untimed))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -12,20 +13,21 @@ from catalog.marts import BASE
 from catalog.registry import query
 from tapeworks import fixed_values as fv
 from tapeworks import schemas
-from tapeworks.operators.trades import with_calendar
-from tapeworks.operators.upsert import upsert
+from tapeworks.operators.upsert import absent_by_key, upsert
 from tapeworks.plans import layers
 from tapeworks.plans.backfill import backfill
 from tapeworks.plans.loads import load_sentiment, load_trade_history
-from tapeworks.plans.marts import build_marts
+from tapeworks.plans.marts import MART_KEYS, build_marts
 from tapeworks.plans.marts import mart_checks as verify
 from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
 from tapeworks.sinks import tables
 from tapeworks.sinks.files import reload_slices, spread_writers
-from tapeworks.sources.files import candle_table, parquet_tree
+from tapeworks.sources.files import candle_table, day_folder, parquet_tree
+from tapeworks.sources.messages import text_messages
 from tapeworks.sources.sentiment import index_replies, newest_readings
 from tapeworks.sources.tables import table
+from tapeworks.storage import discard, exists
 from tapeworks.streaming import drains
 
 # --- tables and views -------------------------------------------------------
@@ -52,21 +54,22 @@ def view_roundtrip(spark, sf_dir):
                where candle_start_time >= {feeds.AS_OF_SQL} - interval 24 hours group by symbol),
     days as (select cast(candle_start_time as date) as date from candles
              where symbol = 'PURCHASE' group by 1),
+    hours as (select distinct symbol, date_trunc('hour', candle_start_time) from candles),
+    sizes as (
+        select 'market_overview.symbol' as key_column, true as once, count(*) as n from recent
+        union all select 'ohlc_summary.candle_start_time', false, count(*) from candles
+        union all select 'pipeline_health.ingestion_hour', false, count(*) from hours
+        union all select 'price_vs_sentiment.date', true, count(*) from days),
     found as (
-        select 'market_overview.symbol not null' as "check",
-               count(*) filter (symbol is null) as failures from recent
-        union all select 'market_overview.symbol unique', count(*) - count(distinct symbol)
-            from recent
-        union all select 'ohlc_summary.candle_start_time not null',
-            count(*) filter (candle_start_time is null) from candles
-        union all select 'pipeline_health.ingestion_hour not null',
-            count(*) filter (candle_start_time is null) from candles
-        union all select 'price_vs_sentiment.date not null', count(*) filter (date is null) from days
-        union all select 'price_vs_sentiment.date unique', count(*) - count(distinct date) from days)
+        select key_column || ' not null' as "check", n as failures from sizes
+        union all select key_column || ' unique', n from sizes where once)
     select *, failures <> 0 as should_warn, failures <> 0 as should_error from found"""
 )
 def mart_checks(spark, sf_dir):
-    """All marts rebuilt on disk, read back and checked."""
+    """All marts rebuilt on disk, read back and checked.
+
+    Every row is read twice, and once more without its key.
+    """
     paths = build_marts(
         spark,
         candles(spark, sf_dir),
@@ -75,7 +78,12 @@ def mart_checks(spark, sf_dir):
         as_of=feeds.AS_OF,
         symbol="purchase",
     )
-    return verify({name: spark.read.parquet(path) for name, path in paths.items()})
+    faulty = {}
+    for name, path in paths.items():
+        mart, (key, _) = spark.read.parquet(path), MART_KEYS[name]
+        keyless = mart.withColumn(key, F.lit(None).cast(mart.schema[key].dataType))
+        faulty[name] = mart.unionByName(mart).unionByName(keyless)
+    return verify(faulty)
 
 
 # --- loads ------------------------------------------------------------------
@@ -104,12 +112,16 @@ def reload_idempotent(spark, sf_dir):
     from kept where cast(trade_timestamp as date) = date '{feeds.RUN_DAY}'"""
 )
 def load_day(spark, sf_dir):
-    """Stored silver, one day of it copied to the history by partition pruning."""
+    """Stored silver, one day of it copied to the history; another is loaded, then emptied."""
     silver_path, history = scratch(spark, "silver"), scratch(spark, "history")
     clean = layers.silver(feeds.faulty_trades(spark, sf_dir).drop("event_id"))
     reload_slices(clean, silver_path, fv.SILVER_PARTITIONS)
-    load_trade_history(spark, silver_path, history, feeds.RUN_DAY)
-    load_trade_history(spark, silver_path, history, feeds.RUN_DAY)
+    emptied = feeds.RUN_DAY + dt.timedelta(days=1)
+    for _ in range(2):
+        load_trade_history(spark, silver_path, history, feeds.RUN_DAY)
+        load_trade_history(spark, silver_path, history, emptied)
+    discard(spark, f"{silver_path}/{day_folder(emptied)}")
+    load_trade_history(spark, silver_path, history, emptied)
     return parquet_tree(spark, history)
 
 
@@ -214,7 +226,7 @@ def candles_stream(spark, sf_dir):
     fresh = layers.gold(feed, trade_id="event_id").withColumn(
         CANDLE_DAY, F.to_date("candle_start_time")
     )
-    gathered = spread_writers(fresh, [CANDLE_DAY], 1, ["symbol"])
+    gathered = spread_writers(fresh, [CANDLE_DAY], 4)
     drains.append_parquet(gathered, path, path + "-checkpoint", [CANDLE_DAY]).awaitTermination()
     return candle_table(spark, path).drop("ingested_at", CANDLE_DAY)
 
@@ -248,5 +260,52 @@ def layers_backfill(spark, sf_dir):
 def layers_run(spark, sf_dir):
     """Messages through bronze and silver files to the candle table, three drains."""
     root = scratch(spark, "layers")
-    paths = drains.run_layers(spark, feeds.records(spark, sf_dir, streaming=True), root)
+    drained = drains.run_layers(spark, feeds.records(spark, sf_dir, streaming=True), root)
+    return candle_table(spark, drained.paths["candles"]).drop("ingested_at", CANDLE_DAY)
+
+
+@query(LAYERS_SQL)
+def layers_run_bounded(spark, sf_dir):
+    """The backlog worked off day by day."""
+    root = scratch(spark, "layers")
+    paths = backfill(spark, feeds.records(spark, sf_dir), root, days_at_once=7)
     return candle_table(spark, paths["candles"]).drop("ingested_at", CANDLE_DAY)
+
+
+@query(f"{LAYERS_SQL} {FINAL.format(source='kept')}")
+def layers_continued(spark, sf_dir):
+    """The first half of the feed in batch, then a stream of the rest and some of it again."""
+    root, time = scratch(spark, "layers"), F.col("trade_time")
+    feed = feeds.trades(spark, sf_dir)
+    low, high = feed.agg(F.min(time), F.max(time)).first()
+    seam = (low + high) // 2
+    backfill(spark, feeds.records_of(feed.filter(time < seam)), root)
+    rest = feeds.trades(spark, sf_dir, streaming=True).filter(time >= seam - 86_400_000)
+    drained = drains.run_layers(spark, feeds.records_of(rest), root)
+    return candle_table(spark, drained.paths["candles"]).drop("ingested_at", CANDLE_DAY)
+
+
+@query(f"{LAYERS_SQL} {FINAL.format(source='kept')}")
+def layers_from_text(spark, sf_dir):
+    """Envelopes landed as lines of text and read as a stream of messages."""
+    landed, root = scratch(spark, "landed"), scratch(spark, "layers")
+    feeds.records(spark, sf_dir).select("value").write.text(landed)
+    drained = drains.run_layers(spark, text_messages(spark, landed, streaming=True), root)
+    return candle_table(spark, drained.paths["candles"]).drop("ingested_at", CANDLE_DAY)
+
+
+@query(STREAMED_SQL)
+def candles_warehouse(spark, sf_dir):
+    """The feed drained twice into an append-only table that takes absent candles only."""
+    path = scratch(spark, "warehouse")
+
+    def append(batch):
+        if exists(spark, path):
+            stored = spark.read.schema(schemas.CANDLE).parquet(path)
+            batch = absent_by_key(batch, stored, drains.CANDLE_KEYS)
+        batch.write.mode("append").parquet(path)
+
+    for attempt in ("first", "second"):
+        feed = feeds.timed_trades(spark, sf_dir, streaming=True)
+        drains.drain_warehouse(feed, append, f"{path}-{attempt}", trade_id="event_id")
+    return spark.read.schema(schemas.CANDLE).parquet(path).drop("ingested_at")

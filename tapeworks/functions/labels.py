@@ -37,8 +37,8 @@ def display_symbol(symbol: Column, quote: str = fv.QUOTE_SUFFIX) -> Column:
 
 
 def same_symbol(symbol: Column, wanted: str, exact_case: bool = False) -> Column:
-    """Symbol filter. ``exact_case`` gives the plain equality that parquet can use to
-    skip row groups; the default accepts any case."""
+    """Symbol filter that parquet can use to skip row groups. Accepts the symbol as it is
+    written and in all upper or lower case; ``exact_case`` only as it is written."""
     if exact_case:
         return symbol == wanted
-    return F.upper(symbol) == wanted.upper()
+    return symbol.isin(sorted({wanted, wanted.upper(), wanted.lower()}))

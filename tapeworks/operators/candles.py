@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks import fixed_values as fv
-from tapeworks.functions.amounts import percent_of, trade_order
+from tapeworks.functions.amounts import percent_of, trade_order, trade_turn
 from tapeworks.functions.labels import candle_type
 from tapeworks.functions.moments import as_moment, start_of
 
@@ -25,7 +25,8 @@ def to_candles(
     """One candle per symbol and interval ``[start, start + width)``.
 
     Open and close are the prices of the earliest and latest trade by event time, not
-    by arrival; an integral ``trade_id`` settles trades of the same instant. A trade
+    by arrival; an integral ``trade_id`` settles trades of the same instant, and without
+    one their content does (``trade_turn``). A trade
     with an unknown maker flag counts in the total volume but on neither side.
 
     Works on streams (append: a candle appears once the watermark passed its end) and
@@ -37,7 +38,8 @@ def to_candles(
     if trades.isStreaming:
         trades = trades.withWatermark(moment, lateness)
     # A column of its own, so that it is computed once for both ends of the candle.
-    order = trade_order(F.col(moment), None if trade_id is None else F.col(trade_id))
+    turn = F.col(trade_id) if trade_id else trade_turn(F.col("price"), F.col("quantity"))
+    order = trade_order(F.col(moment), turn)
     trades = trades.withColumn("_order", F.when(F.col("price").isNotNull(), order))
     by_taker = F.when(~F.col("is_buyer_maker"), F.col("quantity")).otherwise(0.0)
     by_maker = F.when(F.col("is_buyer_maker"), F.col("quantity")).otherwise(0.0)

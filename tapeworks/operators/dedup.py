@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import types as T
 
 from tapeworks import fixed_values as fv
 
+# Room for a hash of 64 bits behind a number, within 38 digits.
+_ROOM = Decimal(10) ** 19
+
 # Column types that Spark aggregates in place, in a hash map.
 _FIXED_WIDTH = (
     T.NumericType,
@@ -37,24 +41,23 @@ def distinct_trades(
 ) -> DataFrame:
     """One row per key, the one that arrived first.
 
+    Of copies that arrived at the same instant the one whose columns hash lowest stays.
     Copies are collapsed inside each input task before the shuffle. When every other
-    column is of fixed width this is a hash aggregate, and copies that arrived at the
-    same instant are interchangeable. A text column would turn it into a sort of all rows
-    twice over; then a ranked group limit is no worse, and it settles such ties by the
-    remaining columns.
+    column is of fixed width this is a hash aggregate. A text column would turn it into
+    a sort of all rows twice over; then a ranked group limit is no worse.
     """
     payload = [f for f in trades.schema.fields if f.name not in keys]
+    arrival = _arrival(trades, earliest_by)
+    turn = F.xxhash64(*[f.name for f in payload])
     if all(isinstance(f.dataType, _FIXED_WIDTH) for f in payload):
         # All of these see the same rows in the same order, hence they agree on the row
         # they keep.
-        arrival = _arrival(trades, earliest_by)
+        order = arrival.cast("decimal(19,0)") * F.lit(_ROOM) + turn.cast("decimal(19,0)")
         kept = trades.groupBy(*keys).agg(
-            *[F.min_by(f.name, arrival).alias(f.name) for f in payload]
+            *[F.min_by(f.name, order).alias(f.name) for f in payload]
         )
         return kept.select(*trades.columns)
-    ties = [f.name for f in payload if f.name != earliest_by]
-    order = [F.col(earliest_by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
-    return first_row_per_key(trades, keys, *order)
+    return first_row_per_key(trades, keys, arrival, turn)
 
 
 def _arrival(df: DataFrame, name: str) -> Column:
@@ -71,11 +74,12 @@ def collapsed_batches(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     # Nested on purpose: it travels to the executors by value and needs no package there.
     def first_copies(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             columns = {name: batch.column(name) for name in names}
-            row = pa.array(range(batch.num_rows), pa.int64())
+            row = pa.array(np.arange(batch.num_rows))
             groups = pa.table({**columns, "_row": row}).group_by(names).aggregate([("_row", "min")])
             first = groups.column("_row_min").combine_chunks()
             yield batch if len(first) == batch.num_rows else batch.take(first.sort())
@@ -88,16 +92,16 @@ def distinct_trades_stream(
     keys: Sequence[str] = fv.DEDUP_KEYS,
     moment: str = "trade_timestamp",
     lateness: str = fv.LATENESS,
-    collapse: bool = True,
+    collapse: bool = False,
 ) -> DataFrame:
     """Streaming dedup: the first arrival of a key passes, later ones do not.
 
     ``moment`` is one of the keys, so a key leaves the state once the watermark passes
     it. A stateful dedup has no partial step before its shuffle: a key repeated by a
-    third of a micro-batch would load a single task. ``collapse`` therefore drops copies
-    inside each Arrow batch first, which leaves one row of such a key per some thousand.
-    The result is the same. Built-in operators could only do this with a second state
-    store on salted keys, which made the whole dedup nearly twice as slow.
+    third of a micro-batch would load a single task. For such feeds ``collapse`` drops
+    copies inside each Arrow batch first, which leaves one row of such a key per some
+    thousand. The result is the same. Built-in operators could only do this with a second
+    state store on salted keys, which made the whole dedup nearly twice as slow.
     """
     if collapse:
         trades = collapsed_batches(trades, keys)

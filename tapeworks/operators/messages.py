@@ -51,6 +51,11 @@ def decode_trades(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.select(record.alias("record")).select("record.*")
 
 
+def untimed(epoch_ms: Column, moment: Column) -> Column:
+    """Whether a record has a time that no timestamp can hold; it ends in bronze."""
+    return epoch_ms.isNotNull() & moment.isNull()
+
+
 def undecodable(records: DataFrame) -> DataFrame:
     """The rows that decoding left empty."""
     empty = F.lit(True)

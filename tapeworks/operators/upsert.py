@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +50,20 @@ def upsert(
 
 
 def replaced_by_key(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """``stored`` without the rows whose key ``incoming`` carries, plus ``incoming``."""
-    kept = stored.join(incoming.select(*keys), keys, "left_anti")
+    """``stored`` without the rows whose key ``incoming`` carries, plus ``incoming``.
+
+    NULL is a key like any other.
+    """
+    kept = _without(stored, incoming, keys)
     return kept.select(*incoming.columns).unionByName(incoming)
 
 
 def absent_by_key(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``incoming`` whose key is not stored yet."""
-    return incoming.join(stored.select(*keys), keys, "left_anti").select(*incoming.columns)
+    return _without(incoming, stored, keys)
+
+
+def _without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    taken = others.select(*[F.col(key).alias(f"_{key}") for key in keys])
+    equal = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    return rows.join(taken, equal, "left_anti")

@@ -31,7 +31,7 @@ def silver(
     records: DataFrame,
     keys: tuple[str, ...] = fv.DEDUP_KEYS,
     lateness: str = fv.LATENESS,
-    collapse: bool = True,
+    collapse: bool = False,
     now: Column | None = None,
 ) -> DataFrame:
     """Valid, typed, distinct and enriched trades with their day.

@@ -11,8 +11,8 @@ from tapeworks import fixed_values as fv
 from tapeworks import schemas
 from tapeworks.operators.upsert import upsert
 from tapeworks.sinks.files import rebuild, reload_slices
-from tapeworks.sinks.keyed import discard, exists
 from tapeworks.sources.files import silver_days
+from tapeworks.storage import discard, exists
 
 
 def trade_history(
@@ -29,11 +29,19 @@ def load_trade_history(
     first: dt.date,
     last: dt.date | None = None,
 ) -> None:
-    """Copy days of silver into the history; loading a day again replaces it."""
-    rows = trade_history(spark, silver_path, first, last)
-    reload_slices(
-        rows.withColumn("trade_day", F.to_date("trade_timestamp")), history_path, ["trade_day"]
+    """Copy days of silver into the history; loading a day again replaces it.
+
+    A day that has no trades any more is removed.
+    """
+    rows = trade_history(spark, silver_path, first, last).withColumn(
+        "trade_day", F.to_date("trade_timestamp")
     )
+    reload_slices(rows, history_path, ["trade_day"])
+    filled = {row[0] for row in rows.select("trade_day").distinct().collect()}
+    for k in range((last or first).toordinal() - first.toordinal() + 1):
+        day = first + dt.timedelta(days=k)
+        if day not in filled:
+            discard(spark, f"{history_path}/trade_day={day}")
 
 
 def load_sentiment(

@@ -45,26 +45,16 @@ def first_candles(candles: DataFrame, as_of=None, horizon: str = fv.HORIZON) ->
     )
 
 
-_STATS = {
-    "high_24h": F.max,
-    "low_24h": F.min,
-    "volume_24h": F.sum,
-    "buy_volume_24h": F.sum,
-    "sell_volume_24h": F.sum,
-    "total_trades_24h": F.sum,
-}
-_STATS_OF = (
-    "high_price",
-    "low_price",
-    "total_volume",
-    "buy_volume_taker",
-    "sell_volume_maker",
-    "trade_count",
-)
-
-
 def _stats() -> list:
-    return [fold(of).alias(name) for (name, fold), of in zip(_STATS.items(), _STATS_OF)]
+    # The names of the totals.
+    return [
+        F.max("high_price").alias("high_24h"),
+        F.min("low_price").alias("low_24h"),
+        F.sum("total_volume").alias("volume_24h"),
+        F.sum("buy_volume_taker").alias("buy_volume_24h"),
+        F.sum("sell_volume_maker").alias("sell_volume_24h"),
+        F.sum("trade_count").alias("total_trades_24h"),
+    ]
 
 
 def horizon_stats(candles: DataFrame, as_of=None, horizon: str = fv.HORIZON) -> DataFrame:

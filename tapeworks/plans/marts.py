@@ -5,9 +5,8 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tapeworks.operators.checks import null_rows, repeated_values, verdict
+from tapeworks.operators.checks import key_checks
 from tapeworks.plans.market_overview import market_overview
 from tapeworks.plans.ohlc_summary import ohlc_summary
 from tapeworks.plans.pipeline_health import pipeline_health
@@ -48,27 +47,20 @@ def build_marts(
     return paths
 
 
-def _named(check: str, failing: DataFrame) -> DataFrame:
-    return verdict(failing).select(F.lit(check).alias("check"), "*")
-
-
 def candle_checks(candles: DataFrame) -> DataFrame:
     """Verdicts on the candle table: complete keys, and no candle twice."""
-    keyed = candles.select("symbol", "candle_start_time")
-    pair = keyed.select(F.struct("symbol", "candle_start_time").alias("candle"))
-    return (
-        _named("symbol not null", null_rows(keyed, "symbol"))
-        .unionAll(_named("candle_start_time not null", null_rows(keyed, "candle_start_time")))
-        .unionAll(_named("candle unique", repeated_values(pair, "candle")))
+    return key_checks(
+        candles,
+        {"symbol": "symbol not null", "candle_start_time": "candle_start_time not null"},
+        {"candle unique": ["symbol", "candle_start_time"]},
     )
 
 
 def mart_checks(built: dict[str, DataFrame]) -> DataFrame:
-    """Verdicts on the marts' key columns, one row per check."""
+    """Verdicts on the marts' key columns, one row per check and one scan per mart."""
     found = []
     for name, mart in built.items():
         column, unique = MART_KEYS[name]
-        found.append(_named(f"{name}.{column} not null", null_rows(mart, column)))
-        if unique:
-            found.append(_named(f"{name}.{column} unique", repeated_values(mart, column)))
+        once = {f"{name}.{column} unique": [column]} if unique else {}
+        found.append(key_checks(mart, {column: f"{name}.{column} not null"}, once))
     return reduce(DataFrame.unionAll, found)

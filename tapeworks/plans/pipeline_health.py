@@ -89,33 +89,24 @@ def daily_summary(candles: DataFrame) -> DataFrame:
 def pipeline_health(candles: DataFrame, as_of=None, ordered: bool = True) -> DataFrame:
     """One row per hour and symbol with the symbol's freshness and the day's totals.
 
-    The candle table is read once. Freshness and the day's totals follow from the
-    hourly rows, so they are windows over that small result rather than joins with two
-    further aggregates of all candles. A window spans one symbol's hours or one day's
-    hours, both limited by the calendar and not by the number of trades.
+    A symbol's newest candle is a window over its hours, which the calendar limits. The
+    day's totals are counts per day and symbol, combined on the map side and joined back:
+    no task holds all symbols of a day. They take a second scan, of two columns.
     """
-    # One shuffle and one sort per side: by symbol for its newest candle and for the first
-    # hour of each of its days (there the symbol counts as active), then by day.
-    of_symbol = Window.partitionBy("symbol").orderBy("ingestion_hour")
-    whole_symbol = of_symbol.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    of_day = Window.partitionBy("_day")
-    known = F.col("symbol").isNotNull()
-    day_begins = ~F.lag("_day").over(of_symbol).eqNullSafe(F.col("_day"))
-
-    rows = (
-        hourly_ingestion(candles)
-        .withColumn("_day", start_of("day", F.col("ingestion_hour")))
-        .withColumns(
-            {"_day_begins": day_begins, "_latest": F.max("latest_candle").over(whole_symbol)}
-        )
-        .withColumns(
-            {
-                "day_total_candles": F.sum("candles_count").over(of_day),
-                "day_active_symbols": F.count_if(known & F.col("_day_begins")).over(of_day),
-                "latest_candle_time": F.when(known, F.col("_latest")),
-            }
+    hours = hourly_ingestion(candles).withColumn("_day", start_of("day", F.col("ingestion_hour")))
+    start = F.col(_START)
+    days = (
+        candles.groupBy(start_of("day", start).alias("_day"), "symbol")
+        .agg(F.count(F.lit(1)).alias("candles"))
+        .groupBy("_day")
+        .agg(
+            F.sum("candles").alias("day_total_candles"),
+            F.count("symbol").alias("day_active_symbols"),
         )
     )
+    known = F.col("symbol").isNotNull()
+    newest = F.max("latest_candle").over(Window.partitionBy("symbol"))
+    rows = hours.withColumn("latest_candle_time", F.when(known, newest)).join(days, "_day")
     age = _age(F.col("latest_candle_time"), as_of)
     result = rows.select(
         "ingestion_hour",

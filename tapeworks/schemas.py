@@ -25,6 +25,10 @@ CANDLE = """
 # The partition column of a stored candle table: the day of the candle.
 CANDLE_DAY = "candle_day"
 
+# The innermost partition of bronze and silver: which run wrote the files.
+RUN = "run"
+BACKLOG = "backlog"
+
 SENTIMENT = "date date, fng_value int, fng_classification string, updated_at timestamp"
 
 # The keys of one wire message. A map keeps "absent" apart from "null".

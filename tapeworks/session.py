@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,6 +28,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 PARTITIONS = "spark.sql.shuffle.partitions"
+_STARTING = threading.Lock()
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def build(app_name: str = "tapeworks", **extra: str) -> SparkSession:
@@ -40,23 +44,26 @@ def build(app_name: str = "tapeworks", **extra: str) -> SparkSession:
 def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings for a stream that is started inside the block.
 
-    A stream copies its settings when it starts and splits its state for good, so the
-    number of partitions is chosen for the cores at hand and not by the default meant
-    for batches. State settings made by the caller stand.
+    A stream copies its settings when it starts and splits its state for good into the
+    session's number of shuffle partitions, or into ``partitions``. State settings made
+    by the caller stand. Streams are started one after the other, so that none sees the
+    settings of another.
     """
-    wanted = {k: v for k, v in STATE_SETTINGS.items() if spark.conf.get(k, None) is None}
-    wanted[PARTITIONS] = str(partitions or spark.sparkContext.defaultParallelism)
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    with _STARTING:
+        wanted = {k: v for k, v in STATE_SETTINGS.items() if spark.conf.get(k, None) is None}
+        if partitions:
+            wanted[PARTITIONS] = str(partitions)
+        before = {key: spark.conf.get(key, None) for key in wanted}
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -68,15 +75,19 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder on this machine.
+    Where it is unset, a master whose executors are threads of the driver gets a folder
+    of this machine, one per application; any other has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="tapeworks-")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tapeworks-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

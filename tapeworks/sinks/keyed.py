@@ -2,27 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.operators.upsert import replaced_by_key
 from tapeworks.schemas import CANDLE_DAY
-
-
-def _folder(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path as it wants it."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _folder(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _folder(spark, path)
-    fs.delete(hadoop_path, True)
+from tapeworks.storage import discard, exists
 
 
 def replace_by_key(
@@ -33,6 +20,7 @@ def replace_by_key(
     staging: str,
     slice_by: str = CANDLE_DAY,
     spark: SparkSession | None = None,
+    settle: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> None:
     """Merge ``batch`` into the table at ``path``: equal keys are replaced.
 
@@ -47,6 +35,9 @@ def replace_by_key(
     the same ``staging`` finds step 2 complete and publishes it again, instead of
     merging into a half-replaced table.
 
+    ``settle`` may correct the rows whose key is stored already: it gets the incoming rows
+    and the stored ones of the touched days and returns the rows to merge.
+
     ``batch`` holds each key once. Inside a stream pass the outer session as ``spark``:
     the session of a micro-batch runs without adaptive planning.
     """
@@ -61,8 +52,10 @@ def replace_by_key(
         if exists(spark, path):
             # One value per calendar day of the batch; as literals they prune the scan.
             days = [row[0] for row in incoming.select(slice_by).distinct().collect()]
-            stored = spark.read.schema(schema).parquet(path)
-            merged = replaced_by_key(stored.filter(F.col(slice_by).isin(days)), incoming, keys)
+            stored = spark.read.schema(schema).parquet(path).filter(F.col(slice_by).isin(days))
+            if settle:
+                incoming = settle(incoming, stored).select(*incoming.columns)
+            merged = replaced_by_key(stored, incoming, keys)
         (
             merged.hint("rebalance", F.col(slice_by))
             .write.mode("overwrite")

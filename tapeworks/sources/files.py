@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tapeworks import schemas
-from tapeworks.functions.moments import within_days
+from tapeworks.storage import exists
 
 
 def parquet_stream(
@@ -17,44 +18,67 @@ def parquet_stream(
     max_files: int | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
-    """A file stream. ``max_files`` bounds the micro-batches of a large backlog.
+    """A file stream of the declared columns. ``max_files`` bounds its micro-batches.
 
-    Files are taken in the order of their modification time. Under a watermark a bounded
-    backlog must therefore have been written roughly in the order of event time; one that
-    was not belongs into a single micro-batch, or into a batch run (``plans.backfill``).
+    Files are taken in the order of their modification time, so a bounded batch pushes a
+    watermark past files that are not read yet, and their rows are dropped. The bound is
+    for steps without a watermark; ``plans.backfill`` works a large backlog off day by day.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*columns_of(schema))
 
 
-def bronze_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    return parquet_stream(spark, path, schemas.BRONZE, max_files)
+def columns_of(schema: str) -> list[str]:
+    """The column names of a declared schema."""
+    return [column.split()[0] for column in schema.split(",")]
 
 
-def silver_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    return parquet_stream(spark, path, schemas.SILVER, max_files)
+def _live(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The parts that streams wrote; a backlog has gone through all layers already."""
+    parts = parquet_stream(spark, path, f"{schema}, {schemas.RUN} string")
+    return parts.filter(F.col(schemas.RUN) != schemas.BACKLOG).drop(schemas.RUN)
+
+
+def bronze_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Bronze files of streams, unbounded: silver keeps a watermark over them."""
+    return _live(spark, path, schemas.BRONZE)
+
+
+def silver_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Silver files of streams, unbounded: candles keep a watermark over them."""
+    return _live(spark, path, schemas.SILVER)
 
 
 def parquet_tree(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """All parquet files below ``path``, whatever their depth and columns.
 
-    Partition folders become columns. Without a declared schema the footers are
-    merged, so a file lacking a column yields NULL for it.
+    Partition folders become columns. With a declared schema its columns are returned.
+    Without one the footers are merged, so a file lacking a column yields NULL for it.
     """
     if schema is not None:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*columns_of(schema))
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def day_folder(day: dt.date) -> str:
+    return f"year={day.year}/month={day.month}/day={day.day}"
+
+
 def silver_days(
     spark: SparkSession, path: str, first: dt.date, last: dt.date | None = None
 ) -> DataFrame:
-    """Silver trades of the given days; other partitions are not listed."""
-    return parquet_tree(spark, path, schemas.SILVER).filter(within_days(first, last or first))
+    """Silver trades of the given days; only their folders are listed."""
+    days = range((last or first).toordinal() - first.toordinal() + 1)
+    folders = [f"{path}/{day_folder(first + dt.timedelta(days=k))}" for k in days]
+    there = [folder for folder in folders if exists(spark, folder)]
+    if not there:
+        return spark.createDataFrame([], schemas.SILVER)
+    reader = spark.read.schema(schemas.SILVER).option("basePath", path)
+    return reader.parquet(*there).select(*columns_of(schemas.SILVER))
 
 
 def candle_table(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from tapeworks.functions import labels
 from tapeworks.functions.amounts import trade_order
 from tapeworks.operators import checks
 from tapeworks.operators.candles import described_candles, merged_candles, to_candles
-from tapeworks.operators.gaps import missing_candles
+from tapeworks.operators.gaps import missing_candles, missing_spans
 from tapeworks.plans.market_overview import market_overview
 from tapeworks.plans.ohlc_summary import hourly_candles, ohlc_summary
 from tapeworks.plans.pipeline_health import daily_summary, hourly_ingestion, pipeline_health
@@ -232,3 +232,30 @@ def test_checks_on_one_and_null(spark):
     only = df.filter("id = 1")
     assert rows(checks.verdict(checks.null_rows(only, "id"))) == [(0, False, False)]
     assert rows(checks.null_counts(df, "id")) == [("id", 1, True, True)]
+
+
+def test_ties_without_an_id_do_not_follow_the_order_of_arrival(spark):
+    rnd = random.Random(4)
+    made = [("A", float(rnd.randint(1, 9)), float(rnd.randint(1, 9)), at("10:00:00"), True) for _ in range(300)]
+    found = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(made)
+        row = to_candles(trades(spark, *made).repartition(1 + 3 * seed)).first()
+        found.add((row.open_price, row.close_price))
+    assert len(found) == 1
+
+
+def test_a_far_off_candle_is_one_span(spark):
+    far = at("10:00:00").replace(year=2924)
+    fact = candles(spark, candle("A", at("10:00:00")), candle("A", at("10:02:00")), candle("A", far))
+    spans = rows(missing_spans(fact), "span_start", "span_end", "missing_minutes")
+    hours = (far - at("10:00:00")) // dt.timedelta(hours=1)
+    assert spans == sorted([
+        (at("10:00:00"), at("11:00:00"), 58),
+        (at("11:00:00"), far, (hours - 1) * 60),
+        (far, far + dt.timedelta(hours=1), 59),
+    ], key=lambda r: tuple((v is None, str(v)) for v in r))
+    near = fact.filter(F.col("candle_start_time") < at("12:00:00"))
+    listed = missing_candles(near.unionByName(candles(spark, candle("A", at("13:30:00")))))
+    assert listed.count() == 58 + 120 + 59
+    assert listed.distinct().count() == listed.count()

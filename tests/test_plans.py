@@ -1,23 +1,26 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from catalog import storage
+from catalog.registry import QUERIES
 from tapeworks import fixed_values as fv
+from tapeworks.functions.labels import same_symbol
 from tapeworks.operators.candles import to_candles
 from tapeworks.operators.dedup import distinct_trades, first_row_per_key
 from tapeworks.operators.gaps import missing_candles
 from tapeworks.operators.trades import standardized_trades, valid_trades
 from tapeworks.plans import layers
 from tapeworks.plans.market_overview import market_overview
+from tapeworks.plans.marts import candle_checks
 from tapeworks.plans.ohlc_summary import ohlc_summary
 from tapeworks.plans.pipeline_health import daily_summary, pipeline_health
 from tapeworks.sinks import files
 from tapeworks.sources.files import candle_table, silver_days
 from tests.helpers import DAY, at, candle, candles, plan, records
 
-WRITING = {name for name in vars(storage) if name in contract.queries()}
+WRITING = {name for name in vars(storage) if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -52,9 +55,12 @@ def test_summary_has_one_shuffle_and_no_join(fact):
     assert text.count("Exchange") == 1 and text.count("Sort [") == 1 and text.count("Window [") == 1
 
 
-def test_health_reads_once(fact):
+def test_health_holds_no_day_in_a_task(fact):
     text = plan(pipeline_health(fact, at("12:00:00"), ordered=False))
-    assert text.count("FileScan") == 1 and "Join" not in text and text.count("Exchange") == 3
+    assert text.count("FileScan") == 2 and text.count("Window [") == 1
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert all("_day" not in line.split("windowspecdefinition")[1] for line in windows)
+    assert "struct<candle_start_time:timestamp,symbol:string>" in text  # the totals' scan
 
 
 def test_daily_summary_needs_no_distinct(fact):
@@ -97,12 +103,22 @@ def test_top_row_is_limited_before_the_shuffle(fact):
 def test_a_day_lists_only_its_partition(spark, bronze, path):
     files.reload_slices(layers.silver(bronze), path, fv.SILVER_PARTITIONS)
     text = plan(silver_days(spark, path, DAY.date()).select("symbol"))
-    assert "PartitionFilters: [isnotnull(year" in text
+    assert "(1 paths)" in text and f"{path}/year=2024/month=3/day=1]" in text
     assert "ReadSchema: struct<symbol:string>" in text
+    assert silver_days(spark, path, DAY.date().replace(year=2001)).count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITING))
+def test_symbol_filter_reaches_the_scan(fact):
+    text = plan(fact.filter(same_symbol(F.col("symbol"), "btcUSDT")))
+    assert "PushedFilters: [In(symbol, [BTCUSDT,btcUSDT,btcusdt])]" in text
+
+
+def test_checks_scan_once(fact):
+    assert plan(candle_checks(fact)).count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_python_rows_and_no_cross_joins(spark, sf_dir, name):
-    text = plan(contract.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for banned in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert banned not in text

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from tapeworks import fixed_values as fv
 from tapeworks import session
-from tapeworks.operators.upsert import absent_by_key, upsert
+from tapeworks.operators.upsert import absent_by_key, replaced_by_key, upsert
 from tapeworks.plans import layers, loads, marts
 from tapeworks.sinks import files, tables
-from tapeworks.sinks.keyed import discard
+from tapeworks.storage import discard
 from tapeworks.sources import files as source_files
 from tapeworks.sources import sentiment
 from tapeworks.sources.messages import topic_options
@@ -152,3 +152,10 @@ def test_day_range(spark, span, days):
 
     df = spark.createDataFrame([(2024, 3, d) for d in range(1, 4)], "year int, month int, day int")
     assert df.filter(within_days(*span)).count() == days
+
+
+def test_a_null_key_is_replaced(spark):
+    stored = spark.createDataFrame([(None, 1), ("a", 1)], "symbol string, n int")
+    incoming = spark.createDataFrame([(None, 2)], "symbol string, n int")
+    assert rows(replaced_by_key(stored, incoming, ["symbol"])) == [("a", 1), (None, 2)]
+    assert absent_by_key(incoming, stored, ["symbol"]).count() == 0

@@ -13,6 +13,7 @@ from tapeworks.sinks import keyed
 from tapeworks.sinks.keyed import replace_by_key
 from tapeworks.sources.files import candle_table, parquet_stream, parquet_tree
 from tapeworks.sources.messages import text_messages
+from tapeworks.storage import discard
 from tapeworks.streaming import drains
 from tests.helpers import RECORD, at, candle, candles, records, rows, trades
 
@@ -165,7 +166,7 @@ def test_keyed_sink_resumes_an_interrupted_publication(spark, tmp_path, monkeypa
         patch.setattr(keyed, "discard", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             merge(spark, path, stage, candle("A", day, c=7.0))
-    keyed.discard(spark, path + "/candle_day=2024-03-01")
+    discard(spark, path + "/candle_day=2024-03-01")
     merge(spark, path, stage, candle("A", day, c=7.0))
     assert stored(spark, path) == [("A", day, 7.0), ("B", day, 1.0)]
 
@@ -183,7 +184,7 @@ def test_layers_in_sequence(spark, tmp_path):
     made = [("A", float(i), 1.0, at(f"10:{i:02d}:00"), i % 2 == 0) for i in range(1, 40)]
     records(spark, *made, *made).select(body).coalesce(1).write.text(landed)
     for _ in range(2):
-        paths = drains.run_layers(spark, text_messages(spark, landed, streaming=True), root)
+        paths = drains.run_layers(spark, text_messages(spark, landed, streaming=True), root).paths
     found = rows(candle_table(spark, paths["candles"]), "candle_start_time", "trade_count")
     assert found == [(at(f"10:{i:02d}:00"), 1) for i in range(1, 29)]
     for _ in range(2):
@@ -202,3 +203,85 @@ def test_collapsed_batches_keep_first_rows_whole(spark):
     kept = collapsed_batches(df, ["symbol", "trade_timestamp", "price", "quantity"])
     assert kept.schema == df.schema
     assert [tuple(r) for r in kept.collect()] == [made[0], made[1], made[3]]
+
+
+def landed_by_tasks(spark, path, tasks=4, hours=6):
+    """Messages of some hours, each hour over all of ``tasks`` files."""
+    made = [
+        ("A", float(i + 1), 1.0, at(f"{9 + i // 60:02d}:{i % 60:02d}:00"), i % 2 == 0)
+        for i in range(hours * 60)
+    ]
+    body = F.to_json(F.struct("*")).alias("value")
+    records(spark, *made).select(body).repartition(tasks).write.text(path)
+    return made
+
+
+def counts(spark, paths):
+    return (
+        parquet_tree(spark, paths["bronze"], schemas.BRONZE).count(),
+        parquet_tree(spark, paths["silver"], schemas.SILVER).count(),
+        candle_table(spark, paths["candles"]).agg(F.sum("trade_count")).first()[0],
+    )
+
+
+def test_files_of_several_tasks_lose_nothing(spark, tmp_path):
+    landed = str(tmp_path / "in")
+    made = landed_by_tasks(spark, landed)
+    messages = text_messages(spark, landed, streaming=True)
+    drained = drains.run_layers(
+        spark, messages, str(tmp_path / "lake"), partitions=3, files_per_hour=2,
+        files_per_day=2, fail_on_dropped=True,
+    )
+    assert drained.dropped == {"silver": 0, "candles": 0}
+    # The last candle whose end the watermark, ten minutes behind, has passed.
+    assert counts(spark, drained.paths) == (len(made), len(made), len(made) - 11)
+    for days in (None, 1):
+        root = str(tmp_path / f"whole-{days}")
+        paths = backfill(spark, text_messages(spark, landed), root, days_at_once=days, gather=False)
+        assert counts(spark, paths) == (len(made),) * 3
+    state = list((tmp_path / "lake/_checkpoints/silver/state/0").iterdir())
+    assert sorted(p.name for p in state if p.name.isdigit()) == ["0", "1", "2"]
+
+
+def test_the_callers_partitions_stand(spark, tmp_path):
+    feed = trade_feed(spark, str(tmp_path / "in"), "10:00:00", "10:30:00")
+    mark = tmp_path / "mark"
+    collected(layers.gold(feed.stream()), str(mark))
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len([p for p in (mark / "state/0").iterdir() if p.name.isdigit()]) == wanted
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == wanted
+
+
+def test_dropped_rows_are_counted_and_can_fail(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    feed = Feed(spark, source, RECORD)
+    feed.add(records(spark, ("A", 1.0, 1.0, at("10:30:00"), True)))
+    assert drains.drain_silver(feed.stream(), out, mark) == 0
+    feed.add(records(spark, ("A", 2.0, 1.0, at("10:10:00"), True)))
+    assert drains.drain_silver(feed.stream(), out, mark) == 1
+    feed.add(records(spark, ("A", 2.0, 1.0, at("10:11:00"), True)))
+    with pytest.raises(RuntimeError, match="behind the watermark"):
+        drains.drain_silver(feed.stream(), out, mark, fail_on_dropped=True)
+
+
+def test_a_stream_goes_on_after_a_backfill(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    body = F.to_json(F.struct("*")).alias("value")
+    made = [
+        ("A", float(i + 1), 1.0, at(f"{9 + i // 120:02d}:{i // 2 % 60:02d}:{i % 2 * 30:02d}"), True)
+        for i in range(240)
+    ]
+    early, late = str(tmp_path / "early"), str(tmp_path / "late")
+    # The seam lies within a minute; twenty trades are delivered again.
+    records(spark, *made[:121]).select(body).write.text(early)
+    records(spark, *made[101:]).select(body).write.text(late)
+    backfill(spark, text_messages(spark, early), root)
+    for _ in range(2):
+        drained = drains.run_layers(spark, text_messages(spark, late, streaming=True), root)
+    bronze, silver, _ = counts(spark, drained.paths)
+    assert (bronze, silver) == (121 + 139, 240)
+    table = candle_table(spark, drained.paths["candles"])
+    assert {r.trade_count for r in table.collect()} == {2}
+    assert table.count() == 109  # candles that end before 10:49:30, where the watermark is
+    seam = table.filter(F.col("candle_start_time") == at("10:00:00")).first()
+    assert (seam.open_price, seam.close_price) == (121.0, 122.0)
