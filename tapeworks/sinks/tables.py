@@ -28,7 +28,11 @@ def jdbc_write_options(options: dict, connections: int = 16, chunk: int = fv.JDB
 
 
 def jdbc_append(df: DataFrame, options: dict, columns: tuple[str, ...] | None = None, **limits) -> None:
-    """Append the given columns."""
+    """Append the given columns.
+
+    The number of connections is also the number of tasks that compute ``df`` where no
+    shuffle stands before the write: store a costly frame first.
+    """
     chosen = df.select(*columns) if columns else df
     chosen.write.format("jdbc").options(**jdbc_write_options(options, **limits)).mode("append").save()
 
