@@ -185,7 +185,7 @@ def test_licences_are_found_and_inherited(spark):
          "obtaining a copy of this software and associated documentation files"),
         ("a/LICENSE.txt", "Licensed under the Apache License, Version 2.0"),
         ("a/b/x.py", "code without anything"),
-        ("a/b/y.py", "# This work is licensed under the GNU General Public License, version 3\ncode"),
+        ("a/b/y.py", "# This work is licensed under the GNU General Public License, version 3\n" + "code " * 50),
         ("c/z.py", None),
         ("z.py", ""),
         ("a/b/w.py", "the licence of a driver"),

@@ -92,7 +92,7 @@ def test_simhash_of_awkward_documents(spark):
     expected = sorted(
         ((d, v, ids.get(root)) for (d, _), v, root in zip(rows, values, label, strict=True)), key=repr
     )
-    assert sorted(((r[1], r[2] % 2**64, r["component_id"]) for r in found), key=repr) == expected
+    assert sorted(((r["doc_id"], r["fingerprint"] % 2**64, r["component_id"]) for r in found), key=repr) == expected
     kept = simhash.dedup(helpers.awkward(spark)).collect()
     assert len(kept) == len(set(label))
 
