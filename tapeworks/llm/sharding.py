@@ -88,7 +88,7 @@ def _round(state: DataFrame, shards: int, capacity: int, bits: int) -> DataFrame
         counts.groupBy(*link)
         .agg(F.sort_array(F.collect_list(lure)).alias("parts"))
         .withColumn("full", F.expr(f"filter(parts, p -> p.here >= {capacity}).shard"))
-        .withColumn("home", F.expr(f"filter(parts, p -> p.here < {capacity})[0].shard"))
+        .withColumn("home", F.expr(f"get(filter(parts, p -> p.here < {capacity}), 0).shard"))
         .filter("home IS NOT NULL")
         .select(*link, "home", "full")
     )
