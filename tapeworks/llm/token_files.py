@@ -15,8 +15,10 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ END_ID = 2
 REMEMBERED = 500_000
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 _TEXTS_AT_ONCE = 500
-_COUNT_BITS = 20
+_COUNT_BITS = 18
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 _FILE = (
@@ -73,9 +75,16 @@ class Memory(dict):
 
     def recall(self, keys: set) -> set:
         """Keep of ``keys`` what is still known, and return the others."""
-        known = keys & self.older.keys()
+        known = keys.intersection(self.older)
         self.update((key, self.older[key]) for key in known)
-        return keys - known
+        return keys - known if known else keys
+
+    def recalled(self, key: str) -> bytes | None:
+        """The value of a key that is only in the older half, which is kept."""
+        value = self.older.get(key)
+        if value is not None:
+            self[key] = value
+        return value
 
     def age(self) -> None:
         if len(self) > self.most:
@@ -115,41 +124,34 @@ class Encoder:
         self.words = Memory(REMEMBERED)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_pieces:
+        if not self.by_pieces or any(x in text for x in self.special for text in texts):
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             return [np.array(x.ids, np.uint32) for x in found]
         for memory in (self.spaced, self.first, self.words):
             memory.age()
-        firsts, pieces = [], []
-        for text in texts:
-            first, *others = self._pieces(text)
-            firsts.append(first)
-            pieces.append(others)
-        ids = [list(map(self.spaced.get, own)) for own in pieces]
-        open_ = [k for k, own in enumerate(ids) if None in own]
-        new = {p for k in open_ for p, i in zip(pieces[k], ids[k], strict=True) if i is None}
-        self._learn(self.spaced, new, " ")
+        pieces = [self._pieces(text) for text in texts]
+        firsts = [own.pop(0) for own in pieces]
         self._learn(self.first, set(firsts).difference(self.first), "")
-        for k in open_:
-            ids[k] = map(self.spaced.__getitem__, pieces[k])
+        self._learn(self.spaced, set(chain.from_iterable(pieces)).difference(self.spaced), " ")
+        known = self.spaced.__getitem__
         return [
-            np.frombuffer(self.first[first] + b"".join(own), np.uint32)
-            for first, own in zip(firsts, ids, strict=True)
+            np.frombuffer(self.first[first] + b"".join(map(known, own)), np.uint32)
+            for first, own in zip(firsts, pieces, strict=True)
         ]
 
     def _learn(self, memory: Memory, pieces: set[str], before: str) -> None:
-        new = list(memory.recall(pieces))
-        cut = [self._words(before + piece) for piece in new]
-        words = {word for own in cut for word in own}
-        for word in self.words.recall(words.difference(self.words)):
-            mapped = word.encode().decode("latin-1").translate(self.alphabet)
-            self.words[word] = np.array([x.id for x in self.model.tokenize(mapped)], np.uint32).tobytes()
-        for piece, own in zip(new, cut, strict=True):
-            memory[piece] = b"".join(map(self.words.__getitem__, own))
-        for piece in new:
-            if any(special in piece for special in self.special):
-                whole = self.tokenizer.encode(before + piece, add_special_tokens=False)
-                memory[piece] = np.array(whole.ids, np.uint32).tobytes()
+        words, get = self.words, self.words.get
+        for piece in memory.recall(pieces):
+            ids = b""
+            for word in self._words(before + piece):
+                ids += get(word) or words.recalled(word) or self._new_word(word)
+            memory[piece] = ids
+
+    def _new_word(self, word: str) -> bytes:
+        mapped = word.encode().decode("latin-1").translate(self.alphabet)
+        ids = array("I", [x.id for x in self.model.tokenize(mapped)]).tobytes()
+        self.words[word] = ids
+        return ids
 
     @staticmethod
     def _words(piece: str) -> list[str]:
@@ -195,6 +197,8 @@ class Grammar:
     begins: np.ndarray  # first symbol of each document, and the end
     _ids: np.ndarray | None = None
     _starts: np.ndarray | None = None
+    _sizes: np.ndarray | None = None
+    _firsts: np.ndarray | None = None
 
     def lengths(self, symbols: np.ndarray) -> np.ndarray:
         """Ids that each of ``symbols`` expands to."""
@@ -207,16 +211,19 @@ class Grammar:
         """The ids of ``symbols``; those of every rule are laid out once, in order of rules."""
         if self._ids is None:
             self._lay_out()
-        rule = symbols >= self.vocabulary
-        sizes = self.lengths(symbols)
-        first = symbols.copy()
-        first[rule] = self.vocabulary + self._starts[symbols[rule] - self.vocabulary]
-        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        return self._ids[at]
+        sizes, first = self._sizes[symbols], self._firsts[symbols]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if total < 1 << 31 else np.int64
+        shift = (first - (ends - sizes)).astype(kind)
+        return self._ids[np.repeat(shift, sizes) + np.arange(total, dtype=kind)]
 
     def _lay_out(self) -> None:
         # One-id symbols first, so that ids and rules are read from the same array.
         self._starts = np.cumsum(self.expansions) - self.expansions
+        own = np.arange(self.vocabulary)
+        self._sizes = np.concatenate([np.ones_like(own), self.expansions])
+        self._firsts = np.concatenate([own, self.vocabulary + self._starts])
         ids = np.empty(self.vocabulary + int(self.expansions.sum()), np.int64)
         ids[: self.vocabulary] = np.arange(self.vocabulary)
         for k, (left, right) in enumerate(self.rules.tolist()):
@@ -270,45 +277,46 @@ def _round(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The most frequent pairs, and what is left when symbols from ``first`` on stand for them.
 
-    Pairs are counted in the slots of a hash; those in well-filled slots are counted one
-    by one. A slot stands for one pair at most, the most frequent.
+    Pairs are told apart by the slots of a hash, without sorting them. A slot stands for one
+    of its pairs; another that falls into it may be replaced in a later round.
     """
     none = np.zeros((0, 2), np.int64), symbols, begins
     if most <= 0 or len(symbols) < 2:
         return none
-    codes = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-    slots = ((codes * _SPREAD) >> np.uint64(64 - _COUNT_BITS)).astype(np.int32)
+    # Both symbols in one number, as narrow as they allow.
+    wide = first + most > 1 << 16
+    half = np.uint64(32) if wide else np.uint32(16)
+    codes = symbols[:-1].astype(half.dtype) << half | symbols[1:]
+    spread, bits = (_SPREAD, 64) if wide else (np.uint32(_SPREAD >> np.uint64(32)), 32)
+    slots = ((codes * spread) >> half.dtype.type(bits - _COUNT_BITS)).astype(np.int32)
     cuts = begins[(begins > 0) & (begins < len(symbols))] - 1
     slots[cuts] = 1 << _COUNT_BITS  # a pair across the end of a document counts nowhere
-    filled = np.bincount(slots, minlength=1 + (1 << _COUNT_BITS))
-    filled[-1] = 0
-    bar = LEAST_COUNT
-    if np.count_nonzero(filled >= bar) > most:
-        bar = max(bar, int(np.partition(filled, -most)[-most]))
-    found, counts = np.unique(codes[(filled >= bar)[slots]], return_counts=True)
-    found, counts = found[counts >= bar], counts[counts >= bar]
-    best = np.argsort(-counts, kind="stable")
-    own_slots = ((found[best] * _SPREAD) >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)
-    _, leading = np.unique(own_slots, return_index=True)
-    best = best[np.sort(leading)[:most]]
+    # Any one pair of each slot, and how often that pair occurs.
+    held = np.zeros(1 + (1 << _COUNT_BITS), codes.dtype)
+    held[slots] = codes
+    own = held[slots] == codes
+    own[cuts] = False
+    counts = np.bincount(slots[own], minlength=len(held))
+    best = np.flatnonzero(counts >= LEAST_COUNT)
+    best = best[np.argsort(-counts[best], kind="stable")[:most]]
     if not len(best):
         return none
-    chosen = found[best]
-    rule_of = np.full(1 + (1 << _COUNT_BITS), -1, np.int32)
-    rule_of[((chosen * _SPREAD) >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)] = np.arange(len(best))
+    chosen = held[best]
+    rule_of = np.full(len(held), -1, np.int32)
+    rule_of[best] = np.arange(len(best))
     rule = rule_of[slots]
-    at = np.flatnonzero(rule >= 0)
-    at = at[chosen[rule[at]] == codes[at]]
+    at = np.flatnonzero((rule >= 0) & own)
     # Of overlapping occurrences every second one, from the first of the run.
-    run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-    place = np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))
-    at = at[place % 2 == 0]
+    run = np.flatnonzero(np.diff(at, prepend=-2) != 1).astype(np.int32)
+    place = np.arange(len(at), dtype=np.int32) - np.repeat(run, np.diff(run, append=len(at)))
+    at = at[(place & 1) == 0]
     left = symbols.copy()
-    left[at] = (first + rule[at]).astype(np.uint32)
+    left[at] = rule[at] + np.uint32(first)
     kept = np.ones(len(symbols), bool)
     kept[at + 1] = False
-    pairs = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1)
-    return pairs.astype(np.int64), left[kept], np.concatenate([[0], np.cumsum(kept)])[begins]
+    left_of, right_of = chosen >> half, chosen & ((half.dtype.type(1) << half) - half.dtype.type(1))
+    pairs = np.stack([left_of, right_of], axis=1).astype(np.int64)
+    return pairs, left[kept], begins - np.searchsorted(at + 1, begins)
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
