@@ -42,22 +42,41 @@ def distinct_trades(
     """One row per key, the one that arrived first.
 
     Of copies that arrived at the same instant the one whose columns hash lowest stays.
-    Copies are collapsed inside each input task before the shuffle. When every other
-    column is of fixed width this is a hash aggregate. A text column would turn it into
-    a sort of all rows twice over; then a ranked group limit is no worse.
+    Copies are collapsed inside each input task before the shuffle, in a hash aggregate,
+    which needs columns of fixed width: a text column would turn it into a sort of all
+    rows, twice over. Text columns are labels of few values, such as the source of a feed;
+    they travel as hashes, and the labels, read once more on their own, are joined back.
+    Columns of other types take a ranked group limit.
     """
     payload = [f for f in trades.schema.fields if f.name not in keys]
-    arrival = _arrival(trades, earliest_by)
+    labels = [f.name for f in payload if isinstance(f.dataType, T.StringType)]
     turn = F.xxhash64(*[f.name for f in payload])
-    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in payload):
-        # All of these see the same rows in the same order, hence they agree on the row
-        # they keep.
-        order = arrival.cast("decimal(19,0)") * F.lit(_ROOM) + turn.cast("decimal(19,0)")
-        kept = trades.groupBy(*keys).agg(
-            *[F.min_by(f.name, order).alias(f.name) for f in payload]
-        )
-        return kept.select(*trades.columns)
-    return first_row_per_key(trades, keys, arrival, turn)
+    arrival = _arrival(trades, earliest_by)
+    if not all(isinstance(f.dataType, (*_FIXED_WIDTH, T.StringType)) for f in payload):
+        return first_row_per_key(trades, keys, arrival, turn)
+    # All of these see the same rows in the same order, hence they agree on the row they
+    # keep.
+    order = arrival.cast("decimal(19,0)") * F.lit(_ROOM) + turn.cast("decimal(19,0)")
+    coded = trades.withColumn("_order", order).withColumns({c: _code(c) for c in labels})
+    kept = coded.groupBy(*keys).agg(
+        *[F.min_by(f.name, "_order").alias(f.name) for f in payload]
+    )
+    for label in labels:
+        kept = kept.withColumnRenamed(label, "_code").join(_labels(trades, label), "_code", "left")
+    return kept.select(*trades.columns)
+
+
+def _code(label: str) -> Column:
+    return F.when(F.col(label).isNotNull(), F.xxhash64(label))
+
+
+def _labels(df: DataFrame, label: str) -> DataFrame:
+    """(_code, label) of each value. Two values of one hash are an error, not a guess."""
+    values = df.filter(F.col(label).isNotNull()).groupBy(_code(label).alias("_code"))
+    both = values.agg(F.min(label).alias("_low"), F.max(label).alias("_high"))
+    clash = F.raise_error(F.concat(F.lit("labels of one hash: "), F.col("_low")))
+    one = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(clash)
+    return both.select("_code", one.alias(label))
 
 
 def _arrival(df: DataFrame, name: str) -> Column:

@@ -87,12 +87,14 @@ def test_cleaning_reaches_the_scan(bronze):
         assert pushed in text
 
 
-def test_dedup_hashes_fixed_width_rows_and_limits_others(bronze):
+def test_dedup_hashes_labels_and_limits_others(bronze):
     typed = standardized_trades(bronze)
     hashed = plan(distinct_trades(typed.drop("source")))
     assert "SortAggregate" not in hashed and "Window" not in hashed
-    ranked = plan(distinct_trades(typed))
-    assert ranked.count("WindowGroupLimit") == 2
+    labelled = plan(distinct_trades(typed)).split("Join")[1]  # the kept trades, below the join
+    assert "partial_min_by" in labelled and "WindowGroupLimit" not in labelled
+    listed = typed.withColumn("source", F.array("source"))
+    assert plan(distinct_trades(listed)).count("WindowGroupLimit") == 2
 
 
 def test_top_row_is_limited_before_the_shuffle(fact):
