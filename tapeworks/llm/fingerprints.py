@@ -6,7 +6,7 @@ universal hash functions a * x + b modulo 2**64, of which the upper half counts,
 all shingles, and the signature holds the least value of each. Two texts agree in a share
 of their signatures that estimates the Jaccard similarity of their shingle sets.
 
-``compared`` gives fingerprints, ``near_duplicates`` joins their bands and verifies.
+``compared`` gives fingerprints; ``near_duplicates`` joins their bands and verifies.
 """
 
 from __future__ import annotations
@@ -27,6 +27,9 @@ SEED = 7
 #: Bands of rows: texts of similarity 0.8 share one with a probability above 0.9999.
 BANDS, ROWS = 25, 5
 LEAST_SIMILARITY = 0.8
+#: Bands of more texts are compared by blocks of so many, after so many turns of one
+#: drawn text against all others.
+SMALL_BAND, BLOCK_TEXTS, TURNS = 16, 512, 4
 #: Bytes of texts whose shingles are permuted at once, so that they stay in the cache.
 _AT_ONCE = 1 << 18
 _NONE = np.uint64(0xFFFFFFFF)
@@ -89,7 +92,7 @@ def compared(docs: DataFrame) -> DataFrame:
     Rows are in descending order of doc_id, then of a hash of the text; rows without a
     doc_id come last; after the last row comes the first. The edited text is the row's
     text with the last half of its code points (rounded down) replaced by as many of the
-    next text's first ones, or all it has. Columns: doc_id, n_chars, edited_sha256,
+    next text's first ones, or all it has. Columns: row_key, doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next. NULL counts as empty; texts
     without words have equal fingerprints. A single row is next to itself; an empty table
     gives no rows.
@@ -100,7 +103,7 @@ def compared(docs: DataFrame) -> DataFrame:
     ranges = frames.tasks(docs)
     (bucket_of, heads) = _ranges(docs.select("doc_id", "text"), ranges)
     if not heads:
-        return docs.sparkSession.createDataFrame([], f"doc_id {_kind(docs)}, {_RESULT}")
+        return docs.sparkSession.createDataFrame([], f"row_key long, doc_id {_kind(docs)}, {_RESULT}")
     order = sorted(heads)
     before = {b: order[k - 1] for k, b in enumerate(order)}  # the first is next to the last
     text = F.col("text")
@@ -126,7 +129,9 @@ def compared(docs: DataFrame) -> DataFrame:
         .withColumn("bucket", bucket_of)
         .withColumn("target", F.coalesce(*is_head))
         .withColumn("copy", F.explode(copies))
-        .select("doc_id", frames.whole_text().alias("text"), "copy.*")
+        .select(
+            frames.row_key().alias("row_key"), "doc_id", frames.whole_text().alias("text"), "copy.*"
+        )
         .repartitionById(ranges + 1, "range")
         .sortWithinPartitions(
             "range", "only_next", F.col("doc_id").desc_nulls_last(), F.xxhash64(text)
@@ -149,7 +154,7 @@ def compared(docs: DataFrame) -> DataFrame:
             # A copy, so that the last row does not keep the whole batch.
             held = (pa.Table.from_pylist(rows.slice(rows.num_rows - 1).to_pylist(), rows.schema), signature[-1:].copy())
 
-    return shipping.map_batches(dealt, batches, f"doc_id {_kind(docs)}, {_RESULT}")
+    return shipping.map_batches(dealt, batches, f"row_key long, doc_id {_kind(docs)}, {_RESULT}")
 
 
 _RESULT = (
@@ -165,7 +170,7 @@ def _kind(docs: DataFrame) -> str:
 def _pairs(rows: pa.Table, signature: np.ndarray, factors, summands) -> Iterator[pa.RecordBatch]:
     """The results of all rows but the last, some at a time."""
     own = np.flatnonzero(~rows["only_next"].to_numpy()[:-1])
-    ids = rows["doc_id"].combine_chunks()
+    keys, ids = rows["row_key"].combine_chunks(), rows["doc_id"].combine_chunks()
     column = rows["text"].combine_chunks()
     for first in range(0, len(own), 500):
         some = own[first : first + 500]
@@ -176,6 +181,7 @@ def _pairs(rows: pa.Table, signature: np.ndarray, factors, summands) -> Iterator
         changed = signatures(pa.array(edited, pa.large_string()), factors, summands)
         yield pa.record_batch(
             [
+                keys.take(pa.array(some)),
                 ids.take(pa.array(some)),
                 pa.array([len(text) for text, _ in pairs], pa.int64()),
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited]),
@@ -184,7 +190,7 @@ def _pairs(rows: pa.Table, signature: np.ndarray, factors, summands) -> Iterator
                 pa.array(likeness(signature[some], changed)),
                 pa.array(likeness(signature[some], signature[some + 1])),
             ],
-            ["doc_id", *(c.split()[0] for c in _RESULT.split(", "))],
+            ["row_key", "doc_id", *(c.split()[0] for c in _RESULT.split(", "))],
         )
 
 
@@ -211,24 +217,27 @@ def _ranges(docs: DataFrame, ranges: int) -> tuple[Column, dict[int, int]]:
     return bucket, heads
 
 
-def signed(docs: DataFrame) -> DataFrame:
-    """(row_key, doc_id, node, signature) of each row; ``node`` is a hash of its text."""
+def banded(docs: DataFrame) -> DataFrame:
+    """(row_key, doc_id, node, bands) of each row; ``node`` is a hash of its text."""
     factors, summands = functions()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = signatures(part["text"], factors, summands)
-            flat = pa.array(found.astype(np.int64).reshape(-1))
-            ends = pa.array(np.arange(0, found.size + 1, found.shape[1], dtype=np.int32))
+            found = signatures(part["text"], factors, summands).astype(np.uint64)
+            bands = np.tile(np.arange(BANDS, dtype=np.uint64), (len(found), 1))
+            for k in range(ROWS):
+                bands = texts.mixed(bands * np.uint64(0x100000001B3) + found[:, k : BANDS * ROWS : ROWS] + np.uint64(1))
+            flat = pa.array(bands.view(np.int64).reshape(-1))
+            ends = pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32))
             kept = [part[c] for c in ("row_key", "doc_id", "node")]
             yield pa.record_batch(
-                [*kept, pa.ListArray.from_arrays(ends, flat)], ["row_key", "doc_id", "node", "signature"]
+                [*kept, pa.ListArray.from_arrays(ends, flat)], ["row_key", "doc_id", "node", "bands"]
             )
 
     own = docs.select(
         frames.row_key().alias("row_key"), "doc_id", F.xxhash64(frames.whole_text()).alias("node"), "text"
     )
-    schema = f"row_key long, doc_id {_kind(docs)}, node long, signature array<long>"
+    schema = f"row_key long, doc_id {_kind(docs)}, node long, bands array<long>"
     return shipping.map_batches(own, batches, schema)
 
 
@@ -252,63 +261,167 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return shipping.map_batches(wanted, batches, "node long, shingles array<long>")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (node, other) whose shingle sets are as similar as ``least``."""
-    pairs = frames.stored(pairs.distinct(), "candidates")
-    nodes = pairs.select("node").unionByName(pairs.select(F.col("other").alias("node")))
-    sets = frames.stored(_sets(docs, nodes), "shingle-sets")
     others = sets.select(F.col("node").alias("other"), F.col("shingles").alias("other_shingles"))
-    both = pairs.join(sets, "node").join(others, "other")
+    both = frames.stored(pairs.distinct(), "candidates").join(sets, "node").join(others, "other")
     shared = F.size(F.array_intersect("shingles", "other_shingles"))
     every = F.size("shingles") + F.size("other_shingles") - shared
     # Without shingles on both sides the texts count as alike.
     alike = F.when(every == 0, F.lit(1.0)).otherwise(shared / every)
-    return both.filter(alike >= least).select("node", "other")
+    return frames.stored(both.filter(alike >= least).select("node", "other"), "verified")
 
 
-def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """(row_key, doc_id, class_id) of each row: classes that similar texts connect.
+def _centred(open_: DataFrame, turn: int) -> DataFrame:
+    """(node, other): every text of a band with one of its texts, if not yet connected."""
+    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("place"), "node", "root")
+    centre = frames.stored(open_.groupBy("band").agg(F.min(drawn).alias("centre")), "centres")
+    return (
+        open_.join(centre, "band")
+        .filter("root <> centre.root")
+        .select("node", F.col("centre.node").alias("other"))
+    )
 
-    Signatures are cut into bands; texts with an equal band are candidates, and the
-    Jaccard similarity of their shingle sets decides. First every text of a band is
-    compared with the first one of it. Then only texts of the same band are compared that
-    are not yet connected. So a large group of near copies makes as many pairs as it has
-    texts, and no link between different texts is lost.
 
-    ``class_id`` is the smallest doc_id of the class, NULL if all of its ids are. NULL,
-    empty and wordless texts are one class. An empty table gives no rows.
-    """
-    marked = frames.stored(signed(docs), "signatures")
-    signatures_ = marked.groupBy("node").agg(F.first("signature").alias("signature"))
-    band = F.explode(
-        F.array(
-            *(F.xxhash64(F.lit(k), F.slice("signature", k * ROWS + 1, ROWS)) for k in range(BANDS))
-        )
-    ).alias("band")
-    banded = frames.stored(signatures_.select("node", band), "bands")
-    shared = (
-        banded.groupBy("band")
-        .agg(F.min("node").alias("other"), F.count("*").alias("texts"))
-        .filter("texts > 1")
-    )
-    centred = frames.stored(banded.join(shared, "band").drop("texts"), "centred-bands")
-    first = centred.filter("node <> other").select("node", "other")
-    links = frames.stored(_verified(docs, first, least), "verified")
+def _open(bands: DataFrame, links: DataFrame) -> DataFrame:
+    """(band, node, root, texts) of the bands whose texts are not all connected."""
     roots = frames.stored(components.connected(links), "roots")
-    member = centred.select("band", "node").join(roots, "node", "left").select(
-        "band", "node", F.coalesce("root", "node").alias("root")
+    member = frames.stored(
+        bands.join(roots, "node", "left").select(
+            "band", "node", F.coalesce("root", "node").alias("root")
+        ),
+        "members",
     )
     mixed = (
-        member.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        member.groupBy("band")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("texts"))
         .filter("low < high")
+        .select("band", "texts")
+    )
+    # Stored, so that the join with it may split the texts of a frequent band.
+    return frames.stored(member.join(frames.stored(mixed, "mixed-bands"), "band"), "open-bands")
+
+
+def _blocked(open_: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(node, other): links that connect all similar texts of the same band.
+
+    The texts of a band are dealt into blocks, and a task compares two blocks at a time.
+    It returns only links between texts that it finds unconnected, one per text at most.
+    """
+    blocks = F.ceil(F.col("texts") / BLOCK_TEXTS)
+    at = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("at")
+    rows = open_.select(
+        "band", "node", "root", F.pmod(F.xxhash64("node"), blocks).alias("own"), at
+    ).select(
+        F.xxhash64("band", F.least("own", "at"), F.greatest("own", "at")).alias("cell"),
+        "node",
+        "root",
+        (F.col("own") <= F.col("at")).alias("is_low"),
+        (F.col("own") >= F.col("at")).alias("is_high"),
+    )
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for part in parts:
+            cell = part["cell"].to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+            for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+                if first == last:
+                    continue
+                if held and held[0]["cell"][0].as_py() != cell[first]:
+                    yield _linked(pa.Table.from_batches(held), least)
+                    held = []
+                held.append(part.slice(first, last - first))
+        if held:
+            yield _linked(pa.Table.from_batches(held), least)
+
+    dealt = rows.join(sets, "node").select("cell", "node", "root", "is_low", "is_high", "shingles")
+    dealt = dealt.repartition("cell").sortWithinPartitions("cell")
+    return frames.stored(shipping.map_batches(dealt, batches, "node long, other long"), "block-links")
+
+
+def _linked(rows: pa.Table, least: float) -> pa.RecordBatch:
+    """Links of low texts with high ones, without those between connected texts."""
+    node, root = rows["node"].to_numpy(), rows["root"].to_numpy()
+    low, high = rows["is_low"].to_numpy(), rows["is_high"].to_numpy()
+    column = rows["shingles"].combine_chunks()
+    sizes = column.value_lengths().to_numpy().astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    kinds, place = np.unique(column.flatten().to_numpy(), return_inverse=True)
+    _, first, which = np.unique(root, return_index=True, return_inverse=True)
+    label = first[which]
+    is_own = np.zeros(len(kinds), bool)
+    found: list[tuple[int, int]] = []
+    for k in np.flatnonzero(low):
+        if not (high & (label != label[k])).any():
+            continue
+        own = place[ends[k] : ends[k + 1]]
+        is_own[own] = True
+        shared = np.diff(np.concatenate([[0], np.cumsum(is_own[place])])[ends])
+        is_own[own] = False
+        every = sizes[k] + sizes - shared
+        alike = np.where(every == 0, 1.0, shared / np.maximum(every, 1))
+        near = np.flatnonzero(high & (label != label[k]) & (alike >= least))
+        near = near[np.unique(label[near], return_index=True)[1]]
+        components.union(label, np.full(len(near), k), near)
+        found += [(k, other) for other in near]
+    at = np.array(found, np.int64).reshape(-1, 2)
+    return pa.record_batch([pa.array(node[at[:, 0]]), pa.array(node[at[:, 1]])], ["node", "other"])
+
+
+def classes(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(row_key, doc_id, root) of each row: classes that similar texts connect.
+
+    Signatures are cut into bands; texts with an equal band are candidates, and the
+    Jaccard similarity of their shingle sets decides. First every text of a band is
+    compared with one drawn from it, in large bands several times, so that a group of
+    near copies makes as many pairs as it has texts. Of texts that are not connected then,
+    all pairs of a band are compared: as rows in small bands, by blocks within tasks in
+    large ones. So no link between different texts of a band is lost.
+    """
+    marked = frames.stored(banded(docs), "bands")
+    member = marked.groupBy("node").agg(F.first("bands").alias("bands")).select(
+        "node", F.explode("bands").alias("band")
+    )
+    shared = member.groupBy("band").agg(F.count("*").alias("texts")).filter("texts > 1")
+    bands = frames.stored(
+        member.join(frames.stored(shared.select("band"), "shared-bands"), "band"), "banded-texts"
+    )
+    sets = frames.stored(_sets(docs, bands.select("node")), "shingle-sets")
+    links = _verified(_centred(bands.withColumn("root", F.col("node")), 0), sets, least)
+    open_ = _open(bands, links)
+    for turn in range(1, TURNS):
+        large = open_.filter(F.col("texts") > SMALL_BAND)
+        if large.isEmpty():
+            break
+        more = _verified(_centred(large, turn), sets, least)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        open_ = _open(bands, links)
+    small = open_.filter(F.col("texts") <= SMALL_BAND)
+    right = small.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
+    pairs = small.join(right, "band").filter("root < other_root").select("node", "other")
+    links = links.unionByName(_verified(pairs, sets, least)).unionByName(
+        _blocked(open_.filter(F.col("texts") > SMALL_BAND), sets, least)
+    )
+    roots = frames.stored(components.connected(links), "classes")
+    return marked.join(roots, "node", "left").select(
+        "row_key", "doc_id", F.coalesce("root", "node").alias("root")
+    )
+
+
+def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(row_key, doc_id, class_id, class_rows) of each row, with ``classes`` named.
+
+    ``class_id`` is the smallest doc_id of the class, NULL if all of its ids are;
+    ``class_rows`` counts its rows. NULL, empty and wordless texts are one class. An empty
+    table gives no rows.
+    """
+    placed = classes(docs, least)
+    ids = placed.groupBy("root").agg(
+        F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows")
+    )
+    return placed.join(frames.stored(ids, "class-ids"), "root").select(
+        "row_key", "doc_id", "class_id", "class_rows"
     )
-    open_ = frames.stored(member.join(mixed.select("band"), "band"), "open-bands")
-    right = open_.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    second = open_.join(right, "band").filter("root < other_root").select("node", "other")
-    more = _verified(docs, second, least)
-    classes = components.connected(links.unionByName(more))
-    placed = marked.select("row_key", "doc_id", "node").join(
-        frames.stored(classes, "classes"), "node", "left"
-    ).withColumn("root", F.coalesce("root", "node"))
-    ids = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(frames.stored(ids, "class-ids"), "root").select("row_key", "doc_id", "class_id")

@@ -13,6 +13,7 @@ from tapeworks.llm import (
     chat,
     decontamination,
     fingerprints,
+    frames,
     licences,
     line_runs,
     mixing,
@@ -46,8 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query()
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents, their edited texts, and how alike they are."""
-    return fingerprints.compared(table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents, how alike edited texts are, and near-duplicate classes."""
+    docs = table(spark, sf_dir, "documents")
+    found = fingerprints.near_duplicates(docs).select("row_key", "class_id", "class_rows")
+    # Equal rows are of one class; stored, as it is narrow beside the fingerprints.
+    of_row = frames.stored(found.distinct(), "classes-of-rows")
+    return fingerprints.compared(docs).join(of_row, "row_key").drop("row_key")
 
 
 @query()

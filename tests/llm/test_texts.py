@@ -204,6 +204,62 @@ def test_near_duplicates_are_classes_of_similar_texts(spark):
     assert fingerprints.near_duplicates(none).count() == 0
 
 
+def similar_classes(rows, least=0.8):
+    sets = [shingle_set(text) for _, text in rows]
+    label = np.arange(len(rows))
+    pairs = [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(i)
+        if (len(sets[i] & sets[j]) / len(sets[i] | sets[j]) if sets[i] | sets[j] else 1) >= least
+    ]
+    components.union(label, *np.array(pairs).T)
+    return label
+
+
+def test_texts_of_large_bands_are_compared_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "SMALL_BAND", 2)
+    monkeypatch.setattr(fingerprints, "BLOCK_TEXTS", 4)
+    monkeypatch.setattr(fingerprints, "TURNS", 1)
+    rnd = random.Random(2)
+    common = [f"w{k}" for k in range(150)]
+    rows = []
+    for _ in range(8):  # all share bands, only those of the same tail are similar
+        tail = [f"t{rnd.randint(0, 9999)}" for _ in range(60)]
+        for k in range(3):
+            rows.append((len(rows), " ".join([*common, *tail, f"end{k}"])))
+    blocks = []
+    whole = fingerprints._linked
+    monkeypatch.setattr(
+        fingerprints, "_blocked", lambda *given, own=fingerprints._blocked: blocks.append(given[0].count()) or own(*given)
+    )
+    found = fingerprints.near_duplicates(helpers.documents(spark, *rows)).collect()
+    label = similar_classes(rows)
+    assert blocks[0] > 0 and len(set(label)) == 8
+    assert {r["doc_id"]: r["class_id"] for r in found} == dict(enumerate(label.tolist()))
+    assert {r["class_rows"] for r in found} == {3}
+    same = pa.table(
+        {
+            "node": range(200),
+            "root": range(200),
+            "is_low": [True] * 200,
+            "is_high": [True] * 200,
+            "shingles": [[1, 2, 3]] * 100 + [[k, -k] for k in range(10, 110)],
+        }
+    )
+    assert whole(same, 0.8).num_rows == 99  # of 4,950 similar pairs
+
+
+def test_fingerprints_of_the_query_come_with_their_classes(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    label = similar_classes(rows)
+    found = {r["doc_id"]: r for r in queries.QUERIES["op1_fingerprints"](spark, sf_dir).collect()}
+    for (doc_id, _), root in zip(rows, label, strict=True):
+        assert found[doc_id]["class_id"] == rows[root][0]
+        assert found[doc_id]["class_rows"] == (label == root).sum()
+
+
 def test_pieces_encode_like_whole_texts():
     rnd = random.Random(1)
     parts = ["a", " ", "  ", "\n", "\t", " \n", "é", "1", "'s", "!", "<|endoftext|>", "\x1c", "\x85", " "]
