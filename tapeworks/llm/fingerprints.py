@@ -6,7 +6,7 @@ universal hash functions a * x + b modulo 2**64, of which the upper half counts,
 all shingles, and the signature holds the least value of each. Two texts agree in a share
 of their signatures that estimates the Jaccard similarity of their shingle sets.
 
-``compared`` gives fingerprints; ``near_duplicates`` joins their bands and verifies.
+``compared`` gives fingerprints; ``near_duplicates`` and ``dedup`` join bands and verify.
 """
 
 from __future__ import annotations
@@ -425,3 +425,17 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     return placed.join(frames.stored(ids, "class-ids"), "root").select(
         "row_key", "doc_id", "class_id", "class_rows"
     )
+
+
+def dedup(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """One row of ``docs`` for each class: that with the smallest doc_id.
+
+    Of rows with equal ids the one with the smallest row key stays; a NULL doc_id only
+    where the class has no other.
+    """
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    kept = classes(docs, least).groupBy("root").agg(F.min(rank)["row_key"].alias("row_key"))
+    (own, nth) = frames.free(docs, "row_key", "nth_row")
+    return frames.first_rows(docs, own, nth).join(
+        kept.select(F.col("row_key").alias(own)), own, "left_semi"
+    ).select(*docs.columns)

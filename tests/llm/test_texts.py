@@ -217,6 +217,22 @@ def similar_classes(rows, least=0.8):
     return label
 
 
+def test_the_copies_stage_drops_texts_of_similarity_from_0_8(spark, sf_dir):
+    rnd = random.Random(5)
+    rows = []
+    for edits in [1, 2, 3, 4, 5, 6] * 5:
+        words = [f"{rnd.choice('abcdefghij')}{rnd.randint(0, 99)}" for _ in range(250)]
+        rows.append((len(rows), " ".join(words)))
+        for k in range(edits):  # each changes five shingles of 246
+            words[10 + 40 * k] = "edit"
+        rows.append((len(rows), " ".join(words)))
+    label = similar_classes(rows)
+    assert 40 > len(set(label)) >= 30
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = stage(spark, helpers.documents(spark, *rows), sf_dir)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label.tolist()))
+
+
 def test_texts_of_large_bands_are_compared_by_blocks(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "SMALL_BAND", 2)
     monkeypatch.setattr(fingerprints, "BLOCK_TEXTS", 4)
