@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeworks import session
-from tapeworks.llm import decontamination, fingerprints, mixing, quality, sharding
+from tapeworks.llm import decontamination, mixing, quality, sharding, simhash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,9 +20,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest doc_id.
 
-    Near are texts whose sets of five-word shingles have a Jaccard similarity of 0.8.
+    Near are texts whose SimHash fingerprints over four-word shingles differ in at most
+    four bits, also by way of others.
     """
-    return fingerprints.dedup(docs)
+    return simhash.dedup(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
