@@ -17,6 +17,7 @@ from tapeworks.llm import (
     licences,
     line_runs,
     mixing,
+    prefix_trie,
     quality,
     sharding,
     simhash,
@@ -363,3 +364,56 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     hundred = F.floor(F.col("doc_id") / 100).cast("string")
     path = F.concat_ws("/", "source", "lang", hundred, F.col("doc_id").cast("string"))
     return licences.scanned(table(spark, sf_dir, "documents"), path).drop("row_key")
+
+
+@query(r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+), numbered as (
+    select conv_id, length(text) as chars, md5(length(role)::varchar || ':' || role || text) as step,
+        row_number() over (partition by conv_id order by turn nulls first,
+            md5(length(role)::varchar || ':' || role || text)) as k
+    from turns
+), sized as (
+    select conv_id, count(*) as n from numbered group by conv_id
+), heads as (
+    select s.conv_id, s.conv_id - s.conv_id % 100 as first_id, h, least(h, coalesce(f.n, 0)) as shared
+    from (select *, xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+                list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+            lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end))) % 6 as h
+          from sized) s
+    left join sized f on f.conv_id = s.conv_id - s.conv_id % 100
+), rebuilt as (
+    select h.conv_id, k as depth, step, chars
+    from heads h join numbered n on n.conv_id = h.first_id and k <= h
+    union all
+    select h.conv_id, k - h + shared, step, chars from heads h join numbered n using (conv_id) where k > h
+), lengths as (
+    select conv_id, count(r.depth) as n from heads left join rebuilt r using (conv_id) group by conv_id
+), prefixes as (
+    select conv_id, depth, chars, string_agg(step, '') over (partition by conv_id order by depth) as prefix
+    from rebuilt
+    union all select conv_id, 0, 0, '' from heads
+), nodes as (
+    select prefix, depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * max(chars) as own,
+        sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth), '')) as ends_sha256
+    from prefixes join lengths using (conv_id) group by prefix, depth
+), parents as (
+    select left(prefix, (depth - 1)::int * 32) as prefix, count(*) as n_children
+    from nodes where depth > 0 group by 1
+), marked as (
+    select n.*, coalesce(n_children, 0) as n_children from nodes n left join parents using (prefix)
+), sums as (
+    select left(prefix, up::int * 32) as prefix, sum(own) as saved_tokens,
+        count(*) filter (n_children = 0) as n_leaves
+    from (select *, unnest(range(depth + 1)) as up from marked) group by 1
+)
+select m.conv_id, m.depth::bigint as depth, p.conv_id as parent_conv_id, m.n_convs, m.n_children,
+    n_leaves, saved_tokens::bigint as saved_tokens, m.ends_sha256
+from marked m join sums using (prefix)
+left join nodes p on m.depth > 0 and p.prefix = left(m.prefix, (m.depth - 1)::int * 32)
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt so that they share beginnings."""
+    return prefix_trie.plan(table(spark, sf_dir, "conversations"))
