@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tapeworks import session
 from tapeworks.llm import (
+    alignment,
     chat,
     decontamination,
     fingerprints,
@@ -417,3 +418,13 @@ left join nodes p on m.depth > 0 and p.prefix = left(m.prefix, (m.depth - 1)::in
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all conversations, rebuilt so that they share beginnings."""
     return prefix_trie.plan(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over all documents."""
+    return alignment.aligned(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
