@@ -15,6 +15,7 @@ from tapeworks.llm import (
     decontamination,
     fingerprints,
     frames,
+    jaccard_join,
     licences,
     line_runs,
     mixing,
@@ -428,3 +429,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"),
     )
+
+
+@query()
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component that links of their shingle sets form."""
+    found = jaccard_join.plan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
