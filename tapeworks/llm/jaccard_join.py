@@ -14,7 +14,7 @@ Answer-level skipping: sets are compared in cells of a set and those like it. Th
 overlaps of a set with all others come from those of a similar set, by adding and
 subtracting what the shingles in one of the two only bring; and what is already connected
 is not compared again. Lists that many sets are in are no source of pairs: their sets meet
-one of them, some drawn ones, and what then stays apart block by block.
+one of them, and what then stays apart is judged block by block, by the prefixes.
 
 Whole sets are made again from the texts of candidates only and shipped once per cell.
 """
@@ -35,13 +35,17 @@ WORDS, LEAST = 5, 80
 HOT = 32
 #: Shingles in order behind all others: the most frequent ones, at most so many.
 LAST = 1_000_000
-#: Sets of a cell or block, and turns of a drawn set against the others of a hot list.
-CELL, TURNS = 256, 3
+#: Sets of a cell, and of a block of a hot list; turns of a drawn set against the others of a
+#: list of several blocks.
+CELL, BLOCK, TURNS = 256, 2048, 3
 #: Bits of the filter that tells which texts are candidates'; a full one lets others pass.
 FILTER_BITS = 1 << 24
+#: Rows of a table that goes to all tasks, at most; a larger one is joined by a shuffle.
+SENT_ROWS = 1 << 18
 _FACTOR = np.uint64(0x100000001B3)
 _TOP = np.uint64(1 << 63)
 _RUN_ROWS = 1 << 17
+_AT_ONCE = 4_000_000
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -104,19 +108,21 @@ def ordered(own: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.concatenate([own[~late], own[late]])
 
 
-def frequent(docs: DataFrame, least: int = LEAST) -> np.ndarray:
-    """The shingles in more than ``HOT`` prefixes, at most ``LAST``, sorted.
+def frequent(docs: DataFrame) -> np.ndarray:
+    """The most frequent shingles, at most ``LAST``, sorted.
 
-    Counted over all texts, in order of hashes; a quarter more than a prefix is counted, since
-    prefixes reach further once frequent shingles are last.
+    Every set is read. A batch of texts reports the shingles that several of its different
+    sets have, and Spark adds the reports up; so a shingle that is rare everywhere may be missed,
+    which costs time and no link, for the order of shingles is free.
     """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            own = [x[: prefix_size(len(x), least) * 5 // 4] for x in sets(part["text"])]
+        for own in _different(parts):
             found, counts = np.unique(np.concatenate(own), return_counts=True)
+            several = counts > 1
             yield pa.record_batch(
-                [pa.array(found.view(np.int64)), pa.array(counts)], ["shingle", "n_sets"]
+                [pa.array(found[several].view(np.int64)), pa.array(counts[several])],
+                ["shingle", "n_sets"],
             )
 
     counted = shipping.map_batches(docs.select("text"), batches, "shingle long, n_sets long")
@@ -132,6 +138,25 @@ def frequent(docs: DataFrame, least: int = LEAST) -> np.ndarray:
     return np.sort(most["shingle"].to_numpy().astype(np.uint64))
 
 
+def _different(parts: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Different sets of a task's texts, some million shingles at a time."""
+    seen: set[int] = set()
+    held, total = [], 0
+    for part in parts:
+        for own in sets(part["text"]):
+            name = node(own) if len(own) else None
+            if name is None or name in seen:
+                continue
+            seen.add(name)
+            held.append(own)
+            total += len(own)
+            if total > _AT_ONCE:
+                yield held
+                held, total = [], 0
+    if held:
+        yield held
+
+
 _MARK, _ENTRY, _PAIR, _HOT_ROW = 0, 1, 2, 3
 _ENTRIES = "kind int, shingle long, place long, node long, row_key long, doc_id {kind}"
 _LISTED = "kind int, shingle long, node long, other long, n long, other_n long, row_key long, doc_id {kind}"
@@ -298,25 +323,51 @@ def _short_lists(shingle, n, position, name, least: int):
     return _PAIR, shingle[a], name[a], name[b], n[a], n[b]
 
 
-def _candidates(listed: DataFrame, hot: DataFrame, least: int) -> DataFrame:
-    """(node, other) that may be linked by the number of prefix shingles they share.
+def _shared(listed: DataFrame) -> DataFrame:
+    """(node, other, n, other_n, shared): pairs of the short lists, and in how many."""
+    pairs = listed.filter(F.col("kind") == _PAIR)
+    return pairs.groupBy("node", "other", "n", "other_n").agg(F.count("*").alias("shared"))
+
 
-    Behind the prefix that ends first lie at most the other shingles of that set; shingles
-    of hot lists were not counted and may all be shared.
+def _narrow(hot: DataFrame, shared: DataFrame) -> DataFrame:
+    """(node, n, hot, most) of the sets in hot lists: the hot shingles of the prefix, and the
+    most others of it that the set shares with any one set."""
+    both = shared.select(F.explode(F.array("node", "other")).alias("node"), "shared")
+    most = both.groupBy("node").agg(F.max("shared").alias("most"))
+    own = hot.groupBy("node", "n").agg(F.sort_array(F.collect_list("shingle")).alias("hot"))
+    return own.join(most, "node", "left").withColumn("most", F.coalesce("most", F.lit(0)))
+
+
+def _possible(shared: Column, n: Column, m: Column, least: int) -> Column:
+    """Can sets of n and m shingles be linked that share so many of their prefixes?
+
+    Behind the prefix that ends first lie at most the other shingles of that set.
     """
-    of_hot = frames.stored(hot.groupBy("node").agg(F.count("*").alias("n_hot")), "hot-sets")
-    other_hot = of_hot.select(F.col("node").alias("other"), F.col("n_hot").alias("other_hot"))
-    shared = (
-        listed.filter(F.col("kind") == _PAIR)
-        .groupBy("node", "other", "n", "other_n")
-        .agg(F.count("*").alias("shared"))
-    )
-    n, m = F.col("n"), F.col("other_n")
-    more = F.least(F.coalesce("n_hot", F.lit(0)), F.coalesce("other_hot", F.lit(0)))
     rest = F.greatest(n - _prefix_size(n, least), m - _prefix_size(m, least))
-    # Sets without enough even if all hot shingles were shared go before the joins.
+    return (shared + rest >= _needed(n, m, least)) & (100 * F.least(n, m) >= least * F.greatest(n, m))
+
+
+def _candidates(shared: DataFrame, narrow: DataFrame, least: int) -> DataFrame:
+    """(node, other) of short lists that may be linked; hot shingles, which were not counted,
+    may all be shared."""
+    of_hot = narrow.select("node", F.size("hot").alias("n_hot"))
+    other_hot = of_hot.select(F.col("node").alias("other"), F.col("n_hot").alias("other_hot"))
     some = shared.join(of_hot, "node", "left").join(other_hot, "other", "left")
-    return some.filter(F.col("shared") + more + rest >= _needed(n, m, least)).select("node", "other")
+    more = F.least(F.coalesce("n_hot", F.lit(0)), F.coalesce("other_hot", F.lit(0)))
+    return some.filter(
+        _possible(F.col("shared") + more, F.col("n"), F.col("other_n"), least)
+    ).select("node", "other")
+
+
+def _possible_pairs(pairs: DataFrame, narrow: DataFrame, least: int) -> DataFrame:
+    """Those of ``pairs`` (node, other) of hot lists that may be linked."""
+    others = narrow.select(
+        F.col("node").alias("other"), F.col("n").alias("m"), F.col("hot").alias("other_hot"),
+        F.col("most").alias("other_most"),
+    )
+    both = pairs.join(narrow, "node").join(others, "other")
+    shared = F.size(F.array_intersect("hot", "other_hot")) + F.least("most", "other_most")
+    return both.filter(_possible(shared, F.col("n"), F.col("m"), least)).select("node", "other")
 
 
 def _filter_words(keys: DataFrame) -> np.ndarray:
@@ -383,21 +434,13 @@ def _links(cells: DataFrame, roots: DataFrame | None, whole: DataFrame, least: i
     own = cells.withColumn("root", F.col("node"))
     if roots is not None:
         own = cells.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = frames.stored(own.select("cell", "node", "root", "side"), "cell-sets")
+    if own.count() <= SENT_ROWS:
+        own = F.broadcast(own)  # whole sets are shuffled once, to their cells
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for part in parts:
-            cell = part["cell"].to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
-            for first, last in zip(cuts[:-1], cuts[1:], strict=True):
-                if first == last:
-                    continue
-                if held and held[0]["cell"][0].as_py() != cell[first]:
-                    yield _cell_links(pa.Table.from_batches(held), least)
-                    held = []
-                held.append(part.slice(first, last - first))
-        if held:
-            yield _cell_links(pa.Table.from_batches(held), least)
+        for rows in _whole_cells(parts):
+            yield _cell_links(rows, least)
 
     dealt = own.join(whole, "node").select("cell", "node", "root", "side", "shingles")
     dealt = dealt.repartition("cell").sortWithinPartitions("cell")
@@ -485,34 +528,101 @@ def _drawn(open_: DataFrame, turn: int) -> DataFrame:
 
 
 def _blocks(open_: DataFrame) -> DataFrame:
-    """(cell, node, side): all sets of each list together in some cell, block with block."""
-    blocks = F.ceil(F.col("n_sets") / F.lit(CELL))
+    """(cell, node, root, side): all sets of each list together in some cell, block with block."""
+    blocks = F.ceil(F.col("n_sets") / F.lit(BLOCK))
     at = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("at")
     side = F.when(F.col("own") < F.col("at"), 1).when(F.col("own") > F.col("at"), 2).otherwise(3)
     return open_.select(
-        "shingle", "node", F.pmod(F.xxhash64("node"), blocks).alias("own"), at
+        "shingle", "node", "root", F.pmod(F.xxhash64("node"), blocks).alias("own"), at
     ).select(
         F.xxhash64("shingle", F.least("own", "at"), F.greatest("own", "at")).alias("cell"),
         "node",
+        "root",
         side.alias("side"),
     )
 
 
+def _survivors(cells: DataFrame, narrow: DataFrame, least: int) -> DataFrame:
+    """(cell, node, side) of the sets that may be linked with another of their cell.
+
+    Judged by the shared part of the prefixes only, so whole sets are not needed. Sets with
+    the same hot shingles have the same answers, which are made once.
+    """
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(parts):
+            keep = pa.array(_may_link(rows, least))
+            yield from rows.select(["cell", "node", "side"]).filter(keep).to_batches()
+
+    dealt = cells.join(narrow, "node").repartition("cell").sortWithinPartitions("cell", "node")
+    made = shipping.map_batches(
+        dealt.select("cell", "node", "side", "root", "n", "hot", "most"),
+        batches,
+        "cell long, node long, side int",
+    )
+    return frames.stored(made, "surviving-sets")
+
+
+def _whole_cells(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held: list[pa.RecordBatch] = []
+    for part in parts:
+        cell = part["cell"].to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+        for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+            if first == last:
+                continue
+            if held and held[0]["cell"][0].as_py() != cell[first]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part.slice(first, last - first))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _may_link(rows: pa.Table, least: int) -> np.ndarray:
+    side, root, n, most = (rows[c].to_numpy() for c in ("side", "root", "n", "most"))
+    rest = n - (n - (least * n + 99) // 100 + 1)
+    column = rows["hot"].combine_chunks()
+    sizes = column.value_lengths().to_numpy().astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    _, place = np.unique(column.flatten().to_numpy(), return_inverse=True)
+    sets_of = np.repeat(np.arange(len(n)), sizes)[np.argsort(place, kind="stable")]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(place))])
+    alike: dict[bytes, list[int]] = {}
+    for k in range(len(n)):
+        alike.setdefault(place[ends[k] : ends[k + 1]].tobytes(), []).append(k)
+    keep = np.zeros(len(n), bool)
+    for some in alike.values():
+        own = place[ends[some[0]] : ends[some[0] + 1]]
+        lists = [sets_of[starts[t] : starts[t + 1]] for t in own.tolist()]
+        shared = np.bincount(np.concatenate(lists), minlength=len(n))
+        for k in some:
+            enough = shared + np.minimum(most, most[k]) + np.maximum(rest, rest[k])
+            near = (100 + least) * enough >= least * (n + n[k])
+            near &= 100 * np.minimum(n, n[k]) >= least * np.maximum(n, n[k])
+            near &= (root != root[k]) & (((side & side[k]) == 0) | (side == 3) | (side[k] == 3))
+            if near.any():
+                keep |= near
+                keep[k] = True
+    return keep
+
+
 def classes(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(row_key, doc_id, node, n, root) of each row of ``docs``; linked sets, also by way of
     others, have the same root. Rows without words have no root."""
-    last = frequent(docs, least)
+    last = frequent(docs)
     listed = frames.stored(_listed(_entries(docs, last, least), _kind(docs), least), "lists")
     marks = listed.filter(F.col("kind") == _MARK).select("row_key", "doc_id", "node", "n")
-    hot = listed.filter(F.col("kind") == _HOT_ROW).select("shingle", "node", "other", "n", "other_n")
-    pairs = frames.stored(_candidates(listed, hot, least), "candidates")
-    fits = 100 * F.least("n", "other_n") >= least * F.greatest("n", "other_n")
-    with_first = hot.filter(fits & (F.col("node") != F.col("other"))).select("node", "other")
+    hot = listed.filter(F.col("kind") == _HOT_ROW).select("shingle", "node", "other", "n")
+    shared = frames.stored(_shared(listed), "shared-shingles")
+    narrow = frames.stored(_narrow(hot, shared), "hot-sets")
+    pairs = frames.stored(_candidates(shared, narrow, least), "candidates")
+    with_first = hot.filter(F.col("node") != F.col("other")).select("node", "other").distinct()
     # Each set with the least of its candidates first: most of what is linked is then
     # connected, and candidates in one component need no comparison.
     least_one = (
         pairs.select(F.col("other").alias("node"), F.col("node").alias("other"))
-        .unionByName(with_first)
+        .unionByName(_possible_pairs(with_first, narrow, least))
         .groupBy("node")
         .agg(F.min("other").alias("other"))
     )
@@ -535,16 +645,17 @@ def classes(docs: DataFrame, least: int = LEAST) -> DataFrame:
         roots = frames.stored(components.connected(links), "roots")
     open_ = _open(hot, roots)
     for turn in range(TURNS):
-        if open_.isEmpty():
-            break
-        more = _links(_celled(_drawn(open_, turn)), roots, whole, least)
-        if more.isEmpty():
+        # Lists of several blocks: first each set with one that is drawn.
+        large = open_.filter(F.col("n_sets") > BLOCK)
+        drawn = frames.stored(_possible_pairs(_drawn(large, turn), narrow, least), "drawn-pairs")
+        if drawn.isEmpty():
             break
-        links = links.unionByName(more)
+        links = links.unionByName(_links(_celled(drawn), roots, whole, least))
         roots = frames.stored(components.connected(links), "roots")
         open_ = _open(hot, roots)
-    if not open_.isEmpty():
-        links = links.unionByName(_links(_blocks(open_), roots, whole, least))
+    cells = _survivors(_blocks(open_), narrow, least)
+    if not cells.isEmpty():
+        links = links.unionByName(_links(cells, roots, whole, least))
         roots = frames.stored(components.connected(links), "roots")
     return marks.join(roots, "node", "left").withColumn(
         "root", F.when(F.col("n") > 0, F.coalesce("root", "node"))
