@@ -93,16 +93,26 @@ def pipeline_health(candles: DataFrame, as_of=None, ordered: bool = True) -> Dat
     day's totals are counts per day and symbol, combined on the map side and joined back:
     no task holds all symbols of a day. They take a second scan, of two columns.
     """
-    hours = hourly_ingestion(candles).withColumn("_day", start_of("day", F.col("ingestion_hour")))
     start = F.col(_START)
-    days = (
-        candles.groupBy(start_of("day", start).alias("_day"), "symbol")
-        .agg(F.count(F.lit(1)).alias("candles"))
-        .groupBy("_day")
-        .agg(
-            F.sum("candles").alias("day_total_candles"),
-            F.count("symbol").alias("day_active_symbols"),
-        )
+    per_symbol = candles.groupBy(start_of("day", start).alias("_day"), "symbol").agg(
+        F.count(F.lit(1)).alias("candles")
+    )
+    return _health(hourly_ingestion(candles), per_symbol, as_of, ordered)
+
+
+def health_of_hours(hours: DataFrame, as_of=None, ordered: bool = True) -> DataFrame:
+    """``pipeline_health`` from its hours, as ``hourly_ingestion`` makes them."""
+    per_symbol = hours.groupBy(start_of("day", F.col("ingestion_hour")).alias("_day"), "symbol").agg(
+        F.sum("candles_count").alias("candles")
+    )
+    return _health(hours, per_symbol, as_of, ordered)
+
+
+def _health(hours: DataFrame, per_symbol: DataFrame, as_of, ordered: bool) -> DataFrame:
+    hours = hours.withColumn("_day", start_of("day", F.col("ingestion_hour")))
+    days = per_symbol.groupBy("_day").agg(
+        F.sum("candles").alias("day_total_candles"),
+        F.count("symbol").alias("day_active_symbols"),
     )
     known = F.col("symbol").isNotNull()
     newest = F.max("latest_candle").over(Window.partitionBy("symbol"))
