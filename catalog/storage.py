@@ -16,6 +16,7 @@ from tapeworks import schemas
 from tapeworks.operators.upsert import absent_by_key, upsert
 from tapeworks.plans import layers
 from tapeworks.plans.backfill import backfill
+from tapeworks.plans.late_rows import restate
 from tapeworks.plans.loads import load_sentiment, load_trade_history
 from tapeworks.plans.marts import MART_KEYS, build_marts
 from tapeworks.plans.marts import mart_checks as verify
@@ -294,6 +295,20 @@ def layers_from_text(spark, sf_dir):
     return candle_table(spark, drained.paths["candles"]).drop("ingested_at", CANDLE_DAY)
 
 
+@query(f"{LAYERS_SQL} {FINAL.format(source='kept')}")
+def late_restated(spark, sf_dir):
+    """A tenth of the messages comes after the watermark has passed them, and is dropped by
+    the streams; the restatement puts it in."""
+    landed, root = scratch(spark, "landed"), scratch(spark, "layers")
+    place = F.pmod(F.xxhash64("value"), F.lit(10))
+    messages = feeds.records(spark, sf_dir)
+    for some in (place > 0, place == 0):
+        messages.filter(some).select("value").write.mode("append").text(landed)
+        drained = drains.run_layers(spark, text_messages(spark, landed, streaming=True), root)
+    restate(spark, drained.paths, scratch(spark, "late"))
+    return candle_table(spark, drained.paths["candles"]).drop("ingested_at", CANDLE_DAY)
+
+
 @query(STREAMED_SQL)
 def candles_warehouse(spark, sf_dir):
     """The feed drained twice into an append-only table that takes absent candles only."""

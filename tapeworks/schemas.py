@@ -28,6 +28,8 @@ CANDLE_DAY = "candle_day"
 # The innermost partition of bronze and silver: which run wrote the files.
 RUN = "run"
 BACKLOG = "backlog"
+# Parts of late rows begin so; their candles are made where they are found.
+LATE = "late"
 
 SENTIMENT = "date date, fng_value int, fng_classification string, updated_at timestamp"
 

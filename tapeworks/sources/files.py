@@ -38,9 +38,11 @@ def columns_of(schema: str) -> list[str]:
 
 
 def _live(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The parts that streams wrote; a backlog has gone through all layers already."""
+    """The parts that streams wrote; a backlog and late rows went through all layers already."""
     parts = parquet_stream(spark, path, f"{schema}, {schemas.RUN} string")
-    return parts.filter(F.col(schemas.RUN) != schemas.BACKLOG).drop(schemas.RUN)
+    run = F.col(schemas.RUN)
+    done = (run == schemas.BACKLOG) | run.startswith(f"{schemas.LATE}-")
+    return parts.filter(~done).drop(schemas.RUN)
 
 
 def bronze_stream(spark: SparkSession, path: str) -> DataFrame:
