@@ -8,10 +8,15 @@ from catalog import feeds
 from catalog.layers import CANDLE_COLUMNS, candles
 from catalog.marts import BASE
 from catalog.registry import ORACLES, query
-from tapeworks.plans import mart_changes
+from tapeworks import fixed_values as fv
+from tapeworks import schemas
+from tapeworks.plans import mart_changes, quarantine
+from tapeworks.plans.layers import bronze
 from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
 from tapeworks.sinks import snapshots
+from tapeworks.sinks.files import write_run
+from tapeworks.sources.files import parquet_tree
 
 
 _COUNTS = ("total_volume", "trade_count")
@@ -115,3 +120,42 @@ def prices_incremental(spark, sf_dir):
 @query(ORACLES["market_overview"])
 def overview_incremental(spark, sf_dir):
     return _changed(spark, sf_dir)["market_overview"]
+
+
+def _faulty(spark, sf_dir):
+    """The feed's messages; where k is 17 the quantity has a unit and so is text."""
+    units = F.regexp_replace("value", '"quantity":17.0', '"quantity":"17.0 lots"')
+    return feeds.records(spark, sf_dir).withColumn("value", units)
+
+
+@query(
+    f"""with {feeds.TRADES_SQL}
+    select reason, cast(count(*) as bigint) as messages
+    from (select case when quantity = 13 then 'no JSON object' else 'wrong type: quantity' end as reason
+          from trades where quantity in (13, 17)) group by reason"""
+)
+def quarantine_listed(spark, sf_dir):
+    """Why messages went to the dead letters, which hold their text."""
+    path = scratch(spark, "letters")
+    for _ in range(2):
+        quarantine.quarantine(_faulty(spark, sf_dir), path, "first")
+    letters = snapshots.read(spark, snapshots.current(spark, path))
+    return letters.groupBy("reason").agg(F.sum("copies").alias("messages"))
+
+
+@query(
+    f"""with {feeds.TRADES_SQL}
+    select source, symbol, price, quantity, trade_time, is_buyer_maker, ingested_at
+    from trades where quantity <> 13"""
+)
+def quarantine_replay(spark, sf_dir):
+    """Bronze after the dead letters were mended, replayed twice: each message once."""
+    path, target = scratch(spark, "letters"), scratch(spark, "bronze")
+    messages = _faulty(spark, sf_dir)
+    quarantine.quarantine(messages, path, "first")
+    write_run(bronze(quarantine.sound(messages)), target, fv.BRONZE_PARTITIONS)
+    for _ in range(2):
+        quarantine.replay(
+            spark, path, lambda text: F.regexp_replace(text, '"([0-9.]+) lots"', "$1"), target, "lots"
+        )
+    return parquet_tree(spark, target, schemas.TRADE)
