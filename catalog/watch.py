@@ -1,4 +1,4 @@
-"""Queries that watch a feed: changes of freshness found by timers."""
+"""Queries that watch: freshness by timers, and checks made by the writes themselves."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog import feeds
+from catalog import feeds, storage  # noqa: F401  (registration)
 from catalog.layers import candles
 from catalog.marts import BASE, HEALTH
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from tapeworks.functions.moments import as_moment
+from tapeworks.plans.marts import MART_KEYS, marts, write_checked_marts
 from tapeworks.session import scratch
 from tapeworks.sources.files import parquet_stream
 from tapeworks.streaming.drains import append_parquet
@@ -70,3 +71,22 @@ def freshness_watched(spark, sf_dir):
     last = F.max_by(F.struct("latest_candle_time", "freshness_status"), "changed_at")
     found = _watched(spark, sf_dir).groupBy("symbol").agg(last.alias("last"))
     return found.select("symbol", "last.*")
+
+
+def _keyless(name, mart):
+    """The mart's rows twice, and once more without their key."""
+    key, _ = MART_KEYS[name]
+    lost = mart.withColumn(key, F.lit(None).cast(mart.schema[key].dataType))
+    return mart.unionByName(mart).unionByName(lost)
+
+
+@query(ORACLES["mart_checks"])
+def checks_while_writing(spark, sf_dir):
+    """The verdicts of ``mart_checks`` on the same faulty marts, found by their writes."""
+    fact = scratch(spark, "candles")
+    candles(spark, sf_dir).write.parquet(fact)
+    built = marts(
+        spark.read.parquet(fact), feeds.sentiment(spark, sf_dir), feeds.AS_OF, symbol="purchase"
+    )
+    faulty = {name: _keyless(name, mart) for name, mart in built.items()}
+    return write_checked_marts(faulty, scratch(spark, "marts"))

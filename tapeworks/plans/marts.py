@@ -11,6 +11,7 @@ from tapeworks.plans.market_overview import market_overview
 from tapeworks.plans.ohlc_summary import ohlc_summary
 from tapeworks.plans.pipeline_health import pipeline_health
 from tapeworks.plans.price_vs_sentiment import price_vs_sentiment
+from tapeworks.sinks.checked import rebuild_checked
 from tapeworks.sinks.files import rebuild
 
 # The column that may not be empty, and whether its values may repeat.
@@ -58,9 +59,18 @@ def candle_checks(candles: DataFrame) -> DataFrame:
 
 def mart_checks(built: dict[str, DataFrame]) -> DataFrame:
     """Verdicts on the marts' key columns, one row per check and one scan per mart."""
-    found = []
-    for name, mart in built.items():
-        column, unique = MART_KEYS[name]
-        once = {f"{name}.{column} unique": [column]} if unique else {}
-        found.append(key_checks(mart, {column: f"{name}.{column} not null"}, once))
+    found = [key_checks(mart, *_mart_checks(name)) for name, mart in built.items()]
     return reduce(DataFrame.unionAll, found)
+
+
+def write_checked_marts(built: dict[str, DataFrame], root: str) -> DataFrame:
+    """Write each mart below ``root`` and return the same verdicts as ``mart_checks``,
+    found by the writes: no mart is read again unless a key may repeat."""
+    found = [rebuild_checked(m, f"{root}/{name}", *_mart_checks(name)) for name, m in built.items()]
+    return reduce(DataFrame.unionAll, found)
+
+
+def _mart_checks(name: str) -> tuple[dict[str, str], dict[str, list[str]]]:
+    column, unique = MART_KEYS[name]
+    once = {f"{name}.{column} unique": [column]} if unique else {}
+    return {column: f"{name}.{column} not null"}, once
