@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from catalog import feeds
 from catalog.layers import BRONZE_SQL, CANDLE_COLUMNS, SILVER_COLUMNS, candles
 from catalog.marts import BASE
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from tapeworks import fixed_values as fv
 from tapeworks import schemas
 from tapeworks.operators.upsert import absent_by_key, upsert
 from tapeworks.plans import layers
 from tapeworks.plans.backfill import backfill
 from tapeworks.plans.late_rows import restate
-from tapeworks.plans.loads import load_sentiment, load_trade_history
+from tapeworks.plans.loads import load_sentiment, load_trade_history, merge_sentiment
 from tapeworks.plans.marts import MART_KEYS, build_marts
 from tapeworks.plans.marts import mart_checks as verify
 from tapeworks.schemas import CANDLE_DAY
@@ -165,6 +165,16 @@ def sentiment_load(spark, sf_dir):
     return spark.read.schema(schemas.SENTIMENT).parquet(path)
 
 
+@query(ORACLES["sentiment_load"])
+def sentiment_load_merged(spark, sf_dir):
+    """The same two loads into a table that is merged when read."""
+    readings, path = _landed_readings(spark, sf_dir), scratch(spark, "sentiment")
+    stamped = F.lit(feeds.AS_OF).cast("timestamp")
+    for run in ("first", "second"):
+        found = merge_sentiment(spark, readings, path, run, now=stamped)
+    return found
+
+
 @query(
     f"""with {feeds.SENTIMENT_SQL},
     updates as (select date + 25 as date, fng_value + 1 as fng_value, fng_classification

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import feeds
+from catalog import feeds, storage  # noqa: F401  (registration)
 from catalog.layers import CANDLE_COLUMNS, candles
 from catalog.marts import BASE
 from catalog.registry import ORACLES, query
 from tapeworks import fixed_values as fv
 from tapeworks import schemas
+from tapeworks.functions.moments import as_moment
 from tapeworks.plans import mart_changes, quarantine
 from tapeworks.plans.layers import bronze
 from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
-from tapeworks.sinks import snapshots
+from tapeworks.sinks import merging, snapshots
 from tapeworks.sinks.files import write_run
 from tapeworks.sources.files import parquet_tree
 
@@ -159,3 +160,44 @@ def quarantine_replay(spark, sf_dir):
             spark, path, lambda text: F.regexp_replace(text, '"([0-9.]+) lots"', "$1"), target, "lots"
         )
     return parquet_tree(spark, target, schemas.TRADE)
+
+
+def _readings(spark, sf_dir):
+    """Readings, and all again 25 days later and one higher, each preceded by a draft."""
+    stored = feeds.sentiment(spark, sf_dir)
+    updates = stored.select(
+        F.date_add("date", 25).alias("date"),
+        F.posexplode(F.array(F.col("fng_value") - 99, F.col("fng_value") + 1)).alias("version", "fng_value"),
+        "fng_classification",
+    )
+    return stored.withColumn("updated_at", F.lit(None).cast("timestamp")), updates
+
+
+@query(ORACLES["sentiment_upsert"])
+def sentiment_merged(spark, sf_dir):
+    """The upsert in three loads, each twice, all still open as deltas when it is read."""
+    path = scratch(spark, "readings")
+    stored, updates = _readings(spark, sf_dir)
+    merging.create(stored, path, ["date"])
+    for third in range(3):
+        some = updates.filter(F.dayofyear("date") % 3 == third)
+        for _ in range(2):
+            snapshot = merging.put(
+                some, path, [F.desc("version")], f"load-{third}", as_moment(feeds.AS_OF), share=9.0
+            )
+    return merging.read(spark, snapshot)
+
+
+@query(f"{BASE} select {CANDLE_COLUMNS} from candles")
+def candles_merged(spark, sf_dir):
+    """Drafts of most candles corrected and the others added, in loads of unequal size,
+    which are folded into the base as they outgrow their share of it."""
+    path = scratch(spark, "merged")
+    fact = candles(spark, sf_dir).drop("ingested_at")
+    minute = F.minute("candle_start_time")
+    drafts = _draft(fact.filter(minute >= 6)).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    merging.create(drafts, path, ["symbol", "candle_start_time"])
+    for low, high in ((0, 5), (6, 8), (9, 10), (11, 59)):
+        some = fact.filter(minute.between(low, high))
+        snapshot = merging.put(some, path, [F.desc("trade_count")], f"to-{high}", as_moment(feeds.AS_OF))
+    return merging.read(spark, snapshot).drop("updated_at")

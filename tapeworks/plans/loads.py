@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tapeworks import fixed_values as fv
 from tapeworks import schemas
 from tapeworks.operators.upsert import upsert
+from tapeworks.sinks import merging, snapshots
 from tapeworks.sinks.files import rebuild, reload_slices
 from tapeworks.sources.files import silver_days
 from tapeworks.storage import discard, exists
@@ -63,3 +64,16 @@ def load_sentiment(
     rebuild(merged, staging)
     rebuild(spark.read.schema(schemas.SENTIMENT).parquet(staging), path)
     discard(spark, staging)
+
+
+def merge_sentiment(
+    spark: SparkSession, readings: DataFrame, path: str, run: str, now: Column | None = None
+) -> DataFrame:
+    """The same upsert into a table that is merged when read; returns its rows.
+
+    A load writes as much as it brings (``sinks.merging``), and one that was interrupted
+    or is repeated under its name ``run`` stands once.
+    """
+    if snapshots.current(spark, path) is None:
+        merging.create(spark.createDataFrame([], schemas.SENTIMENT), path, ["date"])
+    return merging.read(spark, merging.put(readings, path, [F.desc("landed_at")], run, now))
