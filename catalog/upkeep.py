@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from catalog import feeds, storage  # noqa: F401  (registration)
@@ -11,11 +13,12 @@ from catalog.registry import ORACLES, query
 from tapeworks import fixed_values as fv
 from tapeworks import schemas
 from tapeworks.functions.moments import as_moment
+from tapeworks.operators.dedup import first_row_per_key
 from tapeworks.plans import mart_changes, quarantine
 from tapeworks.plans.layers import bronze
 from tapeworks.schemas import CANDLE_DAY
 from tapeworks.session import scratch
-from tapeworks.sinks import merging, snapshots
+from tapeworks.sinks import merging, skipping, snapshots
 from tapeworks.sinks.files import write_run
 from tapeworks.sources.files import parquet_tree
 
@@ -201,3 +204,43 @@ def candles_merged(spark, sf_dir):
         some = fact.filter(minute.between(low, high))
         snapshot = merging.put(some, path, [F.desc("trade_count")], f"to-{high}", as_moment(feeds.AS_OF))
     return merging.read(spark, snapshot).drop("updated_at")
+
+
+# Hours of one symbol, within a day of the feed.
+_FROM, _TO = dt.datetime(2024, 1, 15, 6), dt.datetime(2024, 1, 15, 17, 59)
+
+
+@query(
+    f"""{BASE} select {CANDLE_COLUMNS} from candles where symbol = 'PURCHASE'
+    and candle_start_time between timestamp '{_FROM}' and timestamp '{_TO}'"""
+)
+def symbol_hours(spark, sf_dir):
+    """Some hours of a symbol, of candles clustered by symbol and time: the files that may
+    hold them are told by statistics."""
+    path = scratch(spark, "clustered")
+    candles(spark, sf_dir).drop("ingested_at").write.parquet(f"{path}/incoming")
+    fact = spark.read.parquet(f"{path}/incoming")
+    kept = skipping.put(fact, path, ["symbol", "candle_start_time"], rows_per_file=1000)
+    asked = {
+        "symbol": skipping.OneOf("PURCHASE"),
+        "candle_start_time": skipping.Between(_FROM, _TO),
+    }
+    return skipping.scan(spark, kept, asked)
+
+
+@query(
+    f"""with {feeds.TRADES_SQL}
+    select event_id, symbol, price, quantity, trade_time from trades
+    qualify row_number() over (partition by symbol order by price desc nulls last, event_id desc) = 1"""
+)
+def trades_looked_up(spark, sf_dir):
+    """The dearest trade of each symbol, looked up by its id through the files' filters."""
+    path = scratch(spark, "looked-up")
+    trades = feeds.trades(spark, sf_dir)
+    kept = skipping.put(
+        trades, path, ["symbol", "trade_time"], lookup=["event_id"], rows_per_file=1000
+    )
+    dearest = first_row_per_key(trades, ["symbol"], F.desc_nulls_last("price"), F.desc("event_id"))
+    ids = [row["event_id"] for row in dearest.select("event_id").collect()]  # one per symbol
+    found = skipping.scan(spark, kept, {"event_id": skipping.OneOf(*ids)})
+    return found.select("event_id", "symbol", "price", "quantity", "trade_time")

@@ -106,12 +106,19 @@ def stage(df: DataFrame, path: str, slice_by: str | None = None, run: int = 0) -
 
     The rebalance gathers a slice into few files and splits one that holds most rows.
     """
+    if slice_by is not None:
+        df = df.hint("rebalance", F.col(slice_by))
+    return stage_as_dealt(df, path, slice_by, run)
+
+
+def stage_as_dealt(df: DataFrame, path: str, slice_by: str | None = None, run: int = 0) -> list[Part]:
+    """The same without a shuffle: every task writes the slices it has."""
     spark, name = df.sparkSession, f"parts/{uuid.uuid4().hex}"
     if slice_by is None:
         df.write.parquet(f"{path}/{name}")
         return [Part(name, None, 0, run, run)]
     sliced = df.withColumn(_SLICE, F.col(slice_by).cast("string"))
-    sliced.hint("rebalance", F.col(_SLICE)).write.partitionBy(_SLICE).parquet(f"{path}/{name}")
+    sliced.write.partitionBy(_SLICE).parquet(f"{path}/{name}")
     found = []
     for folder in children(spark, f"{path}/{name}"):
         key, _, value = folder.partition("=")
@@ -190,7 +197,8 @@ def append(df: DataFrame, path: str, slice_by: str, run: str) -> Snapshot:
     numbered = df.withColumn(RUN_NUMBER, F.lit(len(runs)).cast("long"))
     made = stage(numbered, path, slice_by, len(runs))
     parts = [*(base.parts if base else ()), *made]
-    return publish(spark, path, base, parts, numbered.schema, slice_by, runs)
+    notes = base.notes if base else None
+    return publish(spark, path, base, parts, numbered.schema, slice_by, runs, notes)
 
 
 def since(spark: SparkSession, snapshot: Snapshot, run_number: int) -> DataFrame:
