@@ -223,6 +223,15 @@ def silver_stream(spark, sf_dir):
     return parquet_tree(spark, path, schemas.SILVER).drop("ingest_timestamp", "processed_at")
 
 
+@query(ORACLES["silver_stream"])
+def silver_stream_by_table(spark, sf_dir):
+    """The same drain, its copies told by a table of seen keys instead of operator state."""
+    path = scratch(spark, "silver")
+    feed = feeds.faulty_trades(spark, sf_dir, streaming=True).drop("event_id")
+    drains.drain_silver_by_table(feed, path, path + "-checkpoint")
+    return parquet_tree(spark, path, schemas.SILVER).drop("ingest_timestamp", "processed_at")
+
+
 # A streamed candle is final once the watermark, ten minutes behind the newest trade,
 # has passed its end.
 FINAL = """where candle_start_time + interval 1 minute

@@ -14,12 +14,18 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks import fixed_values as fv
 from tapeworks import schemas
+from tapeworks.operators.trades import (
+    enriched_trades,
+    standardized_trades,
+    valid_trades,
+    with_calendar,
+)
 from tapeworks.operators.upsert import absent_by_key
 from tapeworks.plans.layers import bronze, gold, silver
 from tapeworks.session import stream_settings
@@ -27,6 +33,7 @@ from tapeworks.sinks.files import spread_writers, write_run
 from tapeworks.sinks.keyed import replace_by_key
 from tapeworks.sources.files import bronze_stream, parquet_tree, silver_stream
 from tapeworks.storage import any_match, create
+from tapeworks.streaming.seen_keys import SeenKeys
 
 CANDLE_KEYS = ["symbol", "candle_start_time"]
 _DAY = list(fv.SILVER_PARTITIONS)
@@ -95,7 +102,10 @@ def dropped_rows(query: StreamingQuery) -> int:
 
 def _drained(query: StreamingQuery, layer: str, fail_on_dropped: bool) -> int:
     query.awaitTermination()
-    dropped = dropped_rows(query)
+    return _reported(dropped_rows(query), layer, fail_on_dropped)
+
+
+def _reported(dropped: int, layer: str, fail_on_dropped: bool) -> int:
     if dropped and fail_on_dropped:
         raise RuntimeError(f"{dropped} rows for {layer} came behind the watermark")
     if dropped:
@@ -159,6 +169,45 @@ def drain_silver(
     return _drained(query, "silver", fail_on_dropped)
 
 
+def drain_silver_by_table(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    files_per_day: int | None = None,
+    fail_on_dropped: bool = False,
+    keys: Sequence[str] = fv.DEDUP_KEYS,
+    lateness: str = fv.LATENESS,
+    now: Column | None = None,
+) -> int:
+    """The same rows by a table of seen keys in place of operator state.
+
+    For feeds in which one trade may come again very often: every task sends one copy of
+    it. Of copies within a micro-batch the first ingested stays. See ``streaming.seen_keys``.
+    """
+    spark = records.sparkSession
+    create(spark, path)
+    seen = SeenKeys(spark, f"{checkpoint}/keys", keys, lateness=lateness)
+    late_rows = 0
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal late_rows
+        run = _run_name(spark, checkpoint, batch_id)
+        passed, late = seen.admit(batch, run)
+        trades = with_calendar(enriched_trades(passed, now=now), "trade_timestamp")
+        if any_match(spark, f"{path}/*/*/*/{schemas.RUN}={schemas.BACKLOG}"):
+            trades = _not_backfilled(spark, trades, path, f"{checkpoint}/staging/{batch_id}")
+        if files_per_day:
+            trades = spread_writers(trades, fv.SILVER_PARTITIONS, files_per_day)
+        write_run(trades, path, fv.SILVER_PARTITIONS, run)
+        # Last: until the keys stand in the table the micro-batch passes the same rows again.
+        seen.record(passed, run)
+        late_rows += late
+
+    query = each_batch(standardized_trades(valid_trades(records)), write, checkpoint)
+    query.awaitTermination()
+    return _reported(late_rows, "silver", fail_on_dropped)
+
+
 def _not_backfilled(spark: SparkSession, batch: DataFrame, path: str, staging: str) -> DataFrame:
     """The trades of a micro-batch that the backfilled parts of its days do not hold."""
     # Stored, so that the plan of the micro-batch, with its state, runs once.
