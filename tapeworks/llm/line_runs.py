@@ -1,9 +1,11 @@
 """Line dedup with levelled sorted runs of line hashes.
 
-A run is a table of (line hash, number of documents, largest doc_id) sorted by hash. Each
-batch of documents adds a run of level 0; ``FAN_IN`` runs of a level are merged into one
-of the next level, so n batches leave about log n runs. A batch's lines are merge-joined
-with the runs by hash; those that the rule gives up are taken out of their documents.
+A run is a table of (line hash, number of documents, largest doc_id, first) sorted by hash.
+Each batch of documents is merge-anti-joined with the runs before it: what none of them
+holds is ``first`` in the new run, what one does is only counted further there. ``FAN_IN``
+runs of a level are merged into one of the next level, so n batches leave about log n runs,
+and a key is ``first`` in one run alone. Lines that the rule gives up, judged by the counts
+of all runs, are taken out of their documents.
 
 Everything is DataFrame code. A line that stands in a third of all documents is one row
 per task before any shuffle of the runs.
@@ -15,17 +17,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeworks import session
 from tapeworks.llm import frames
 
 LEAST_CHARS = 40
 LEAST_DOCUMENTS = 5
-FAN_IN = 4
+FAN_IN = 2
 BATCHES = 4
 KEY = ["key_high", "key_low"]
-_RUN = "key_high long, key_low long, documents long, last_doc long"
+_RUN = "key_high long, key_low long, documents long, last_doc long, first boolean"
 _SALT = "second hash"
+_BATCH = "batch"
+_ADDED = ("n_lines", "n_dropped", "kept_text")
 
 
 def split_lines(text: Column) -> Column:
@@ -78,13 +83,24 @@ class LineRuns:
         self._written = 0
 
     def add(self, batch: DataFrame) -> None:
-        """Add the run of a batch of ``lines``; merge levels that are full."""
+        """Add the run of a batch of ``lines``; merge levels that are full.
+
+        The batch's keys that no run holds are found by an anti-join, the others are told
+        by a semi-join, and both are the new run.
+        """
         own = (
             batch.filter("first")
             .groupBy(*KEY)
             .agg(F.count("*").alias("documents"), F.max("doc_id").cast("long").alias("last_doc"))
         )
-        self._put(0, own)
+        if not self.levels:
+            self._put(0, own.withColumn("first", F.lit(True)))
+            return
+        # Stored, as both joins read it.
+        counted = frames.stored(own, "batch-run")
+        new = self.unseen(counted).withColumn("first", F.lit(True))
+        known = counted.join(self._firsts(), KEY, "left_semi").withColumn("first", F.lit(False))
+        self._put(0, new.unionByName(known).coalesce(frames.tasks(counted)))
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fan_in:
             merged = self._merge(self.levels[level])
@@ -94,14 +110,22 @@ class LineRuns:
 
     def merged(self) -> DataFrame:
         """One row per key over all runs."""
-        paths = [path for level in self.levels for path in level]
+        paths = self._paths()
         if not paths:
             return self.spark.createDataFrame([], _RUN)
         return self._read(paths[0]) if len(paths) == 1 else self._merge(paths)
 
     def unseen(self, batch: DataFrame) -> DataFrame:
-        """The lines of ``batch`` whose key is in none of the runs."""
-        return batch.join(self.merged().select(*KEY), KEY, "left_anti")
+        """The rows of ``batch`` whose key is in none of the runs, by a merge of sorted sides."""
+        return batch.join(self._firsts().hint("merge"), KEY, "left_anti")
+
+    def _paths(self) -> list[str]:
+        return [path for level in self.levels for path in level]
+
+    def _firsts(self) -> DataFrame:
+        """Every key of the runs, once."""
+        runs = [self._read(path).filter("first").select(*KEY) for path in self._paths()]
+        return reduce(DataFrame.unionByName, runs, self.spark.createDataFrame([], _RUN).select(*KEY))
 
     def given_up(self, batch: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
         """The lines of ``batch`` to drop.
@@ -118,7 +142,9 @@ class LineRuns:
     def _merge(self, paths: list[str]) -> DataFrame:
         runs = reduce(DataFrame.unionByName, [self._read(path) for path in paths])
         return runs.groupBy(*KEY).agg(
-            F.sum("documents").alias("documents"), F.max("last_doc").alias("last_doc")
+            F.sum("documents").alias("documents"),
+            F.max("last_doc").alias("last_doc"),
+            F.max("first").alias("first"),
         )
 
     def _put(self, level: int, run: DataFrame) -> None:
@@ -140,17 +166,26 @@ def dedup(
 
     Every row is a document, also if rows repeat; repeated rows that hold the largest
     doc_id all keep their lines. Documents in which nothing is dropped keep their text as
-    it is (NULL: the empty text). An empty table gives no rows.
+    it is (NULL: the empty text). An empty table gives no rows. Existing columns of the
+    three names are replaced, all others kept.
     """
     spark = docs.sparkSession
-    found = frames.stored(lines(docs, least_chars), "lines")
+    # A folder per batch, so that each is read once by its run and once in the end.
+    path = session.scratch(spark, "lines")
+    batch_of = F.pmod(F.col("row_key"), F.lit(batches)).cast("int")
+    long_enough = lines(docs, least_chars)
+    long_enough.withColumn(_BATCH, batch_of).write.partitionBy(_BATCH).parquet(path)
+    kind = T.StructType([*long_enough.schema, T.StructField(_BATCH, T.IntegerType())])
+    found = spark.read.schema(kind).parquet(path)
     runs = LineRuns(spark, session.scratch(spark, "line-runs"))
-    batch_of = F.pmod(F.col("row_key"), F.lit(batches))
     for batch in range(batches):
-        runs.add(found.filter(batch_of == batch))
-    (key, places, kept) = frames.free(docs, "row_key", "dropped_places", "kept_text")
+        runs.add(found.filter(F.col(_BATCH) == batch).drop(_BATCH))
+    added = frames.free(
+        docs.drop(*_ADDED), *_ADDED, "row_key", "dropped_places", "split_lines", "staying_places"
+    )
+    (key, places, split, stay) = added[len(_ADDED):]
     dropped = (
-        runs.given_up(found, least_documents)
+        runs.given_up(found.drop(_BATCH), least_documents)
         .groupBy(F.col("row_key").alias(key))
         .agg(F.collect_set("place").alias(places))
     )
@@ -158,17 +193,18 @@ def dedup(
     count = F.size(split_lines(text))
     staying = F.array_except(F.sequence(F.lit(0), count - 1), F.col(places))
     # The lines are split once, as a column, and taken by place.
-    left = F.expr(f"transform({kept}_places, i -> {kept}_lines[i])")
+    left = F.expr(f"transform({stay}, i -> {split}[i])")
+    none = F.col(places).isNull()
     return (
-        docs.withColumn(key, frames.row_key())
+        docs.drop(*_ADDED)
+        .withColumn(key, frames.row_key())
         .join(dropped, key, "left")
         .withColumn("n_lines", count.cast("long"))
         .withColumn("n_dropped", F.coalesce(F.size(places), F.lit(0)).cast("long"))
-        .withColumn(f"{kept}_lines", F.when(F.col(places).isNotNull(), split_lines(text)))
-        .withColumn(f"{kept}_places", staying)
+        .withColumn(split, F.when(~none, split_lines(text)))
+        .withColumn(stay, staying)
         .withColumn(
-            kept,
-            F.when(F.col(places).isNull(), frames.whole_text()).otherwise(F.array_join(left, "\n")),
+            "kept_text", F.when(none, frames.whole_text()).otherwise(F.array_join(left, "\n"))
         )
-        .drop(key, places, f"{kept}_lines", f"{kept}_places")
+        .drop(key, places, split, stay)
     )

@@ -179,6 +179,45 @@ def test_runs_are_levelled_and_found_again(spark):
     assert sorted((r["documents"], r["last_doc"]) for r in merged) == [(6, 15), (6, 16), (6, 17)]
 
 
+def test_line_dedup_levels_its_runs_and_anti_joins_each_batch(spark, monkeypatch):
+    docs = helpers.documents(spark, *((k, f"{'line ' * 10}{k % 7}\n{'own ' * 12}{k}") for k in range(60)))
+    made, asked = [], []
+    plain_put, plain_unseen = line_runs.LineRuns._put, line_runs.LineRuns.unseen
+
+    def put(self, level, run):
+        plain_put(self, level, run)
+        made.append((level, run.filter("first").count(), run.count()))
+
+    def unseen(self, batch):
+        found = plain_unseen(self, batch)
+        asked.append((found.count(), batch.count(), "SortMergeJoin" in helpers_plan(found)))
+        return found
+
+    monkeypatch.setattr(line_runs.LineRuns, "_put", put)
+    monkeypatch.setattr(line_runs.LineRuns, "unseen", unseen)
+    kept = line_runs.dedup(docs)
+    assert kept.agg(F.sum("n_dropped")).first()[0] == 60 - 7
+    assert [level for level, _, _ in made] == [0, 0, 1, 0, 0, 1, 2]
+    # Each of the 67 keys is first in one run alone, and in the last one all are.
+    assert sum(first for level, first, _ in made if level == 0) == 67 and made[-1][1:] == (67, 67)
+    assert len(asked) == 3 and all(new < every and merge for new, every, merge in asked)
+
+
+def helpers_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_dedup_keeps_other_columns(spark):
+    names = ["row_key", "dropped_places", "_kept_text", "split_lines", "staying_places", "batch", "n_lines"]
+    docs = helpers.documents(spark, *((k, "same line " * 6 + "\nx") for k in range(6)))
+    more = docs.withColumns({name: F.col("doc_id") + 100 for name in names})
+    found = line_runs.dedup(more)
+    assert sorted(found.columns) == sorted([*more.columns, "n_dropped", "kept_text"])
+    for row in found.collect():
+        assert all(row[name] == row["doc_id"] + 100 for name in names[:-1]) and row["n_lines"] == 2
+        assert row["kept_text"] == ("x" if row["doc_id"] < 5 else "same line " * 6 + "\nx")
+
+
 def test_licences_are_found_and_inherited(spark):
     rows = [
         ("LICENSE", "MIT License\n\nPermission is hereby granted, free of charge, to any person "
