@@ -206,8 +206,8 @@ def candles_merged(spark, sf_dir):
     return merging.read(spark, snapshot).drop("updated_at")
 
 
-# Hours of one symbol, within a day of the feed.
-_FROM, _TO = dt.datetime(2024, 1, 15, 6), dt.datetime(2024, 1, 15, 17, 59)
+# Some days and hours of one symbol.
+_FROM, _TO = dt.datetime(2024, 1, 14, 6), dt.datetime(2024, 1, 17, 17, 59)
 
 
 @query(
@@ -215,7 +215,7 @@ _FROM, _TO = dt.datetime(2024, 1, 15, 6), dt.datetime(2024, 1, 15, 17, 59)
     and candle_start_time between timestamp '{_FROM}' and timestamp '{_TO}'"""
 )
 def symbol_hours(spark, sf_dir):
-    """Some hours of a symbol, of candles clustered by symbol and time: the files that may
+    """Some days of a symbol, of candles clustered by symbol and time: the files that may
     hold them are told by statistics."""
     path = scratch(spark, "clustered")
     candles(spark, sf_dir).drop("ingested_at").write.parquet(f"{path}/incoming")
