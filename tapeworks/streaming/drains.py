@@ -307,26 +307,25 @@ def run_layers(
     files_per_hour: int | None = None,
     files_per_day: int | None = None,
     fail_on_dropped: bool = False,
+    by_table: bool = False,
     **candle_options,
 ) -> Drained:
     """Drain all three layers below ``root`` in order.
 
     A drain takes all files the layer before has, in one micro-batch: a bound on files
     would push the watermark past files that are not read yet. ``plans.backfill`` splits
-    a backlog by days instead.
+    a backlog by days instead. ``by_table`` tells copies of trades by a table of seen keys
+    in place of operator state; a checkpoint goes on with what it began with.
     """
     path = {layer: f"{root}/{layer}" for layer in ("bronze", "silver", "candles")}
     mark = {layer: f"{root}/_checkpoints/{layer}" for layer in path}
     drain_bronze(messages, path["bronze"], mark["bronze"], files_per_hour)
+    records = bronze_stream(spark, path["bronze"])
+    to_silver = (records, path["silver"], mark["silver"], files_per_day)
     dropped = {
-        "silver": drain_silver(
-            bronze_stream(spark, path["bronze"]),
-            path["silver"],
-            mark["silver"],
-            files_per_day,
-            partitions,
-            fail_on_dropped,
-        ),
+        "silver": drain_silver_by_table(*to_silver, fail_on_dropped)
+        if by_table
+        else drain_silver(*to_silver, partitions, fail_on_dropped),
         "candles": drain_gold(
             silver_stream(spark, path["silver"]),
             path["candles"],

@@ -32,7 +32,8 @@ class SeenKeys:
 
     ``moment`` is one of ``keys`` and the event time. As for ``dropDuplicates`` behind a
     watermark, rows at or behind it, taken from earlier micro-batches, are dropped; NULL
-    keys equal one another, and a row without a ``moment`` is never behind. One writer.
+    keys equal one another, and a row without a ``moment`` is never behind. Unlike there, no
+    row of the first micro-batch is behind, also none of 1970 or before. One writer.
     """
 
     def __init__(

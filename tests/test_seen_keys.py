@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tapeworks import schemas
 from tapeworks.operators.dedup import distinct_trades
 from tapeworks.sinks import snapshots
-from tapeworks.sources.files import parquet_stream, parquet_tree
+from tapeworks.sources.files import candle_table, parquet_stream, parquet_tree
 from tapeworks.streaming import drains
 from tapeworks.streaming.seen_keys import SeenKeys
 from tests.helpers import RECORD, at, plan, records, rows
@@ -126,3 +126,20 @@ def test_the_drain_equals_the_stateful_one(spark, tmp_path):
         drains.drain_silver_by_table(
             stream, str(tmp_path / "table"), str(tmp_path / "table-mark"), fail_on_dropped=True
         )
+
+
+def test_layers_by_table_equal_layers_by_state(spark, tmp_path):
+    lines = [
+        f'{{"source":"f","symbol":"A","price":{p},"quantity":1.0,"trade_time":{t},"is_buyer_maker":true}}'
+        for p, t in [(1.0, 60_000), (1.0, 60_000), (2.0, 61_000), (1.0, 60_000), (3.0, 7_200_000)]
+    ]
+    source = str(tmp_path / "in")
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(source)
+    found = {}
+    for by_table in (False, True):
+        messages = spark.readStream.schema("value string").text(source)
+        done = drains.run_layers(spark, messages, str(tmp_path / str(by_table)), by_table=by_table)
+        silver = parquet_tree(spark, done.paths["silver"], schemas.SILVER)
+        kept = candle_table(spark, done.paths["candles"]).drop("ingested_at")
+        found[by_table] = rows(silver.select("price", "trade_timestamp")), rows(kept), done.dropped
+    assert found[True] == found[False] and len(found[True][0]) == 3 and found[True][1]
