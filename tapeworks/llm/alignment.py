@@ -32,8 +32,9 @@ from tokenizers import Tokenizer
 
 from tapeworks.llm import frames, shipping, token_files
 
-#: Pieces of documents that a block holds, and pieces that a Python worker remembers.
-BLOCK_PIECES, REMEMBERED = 400_000, 400_000
+#: Pieces of documents that a block holds, and different ones that a task remembers from one
+#: block to the next: some 250 bytes each, in every Python worker of an executor.
+BLOCK_PIECES, REMEMBERED = 400_000, 150_000
 _TEXTS_AT_ONCE = 200
 _B_SPACE = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -306,34 +307,39 @@ def blocks(
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = aligner(path_a, path_b)
         number = TaskContext.get().partitionId() << 32
-        ids, own, pieces, schema = [], [], 0, None
-
-        def block() -> pa.RecordBatch:
-            made = _block(number, pa.concat_arrays(ids), own, known, schema)
-            if len(known.told) > remembered:
-                known.forget()
-            return made
-
-        for part in parts:
-            schema = schema or _arrow_schema(part["doc_id"].type)
-            for first in range(0, part.num_rows, _TEXTS_AT_ONCE):
-                some = part.slice(first, _TEXTS_AT_ONCE)
-                # A worker that serves several tasks may have been asked to forget.
-                found = known.learn([x or "" for x in some["text"].to_pylist()])
-                ids.append(some["doc_id"])
-                own += found
-                pieces += sum(map(len, found))
-                if pieces >= block_pieces:
-                    yield block()
-                    number, ids, own, pieces = number + 1, [], [], 0
-        if own:
-            yield block()
+        return _dealt(parts, aligner(path_a, path_b), number, block_pieces, remembered)
 
     return shipping.map_batches(docs.select("doc_id", "text"), batches, _BLOCKS.format(kind=kind))
 
 
+def _dealt(
+    parts: Iterator[pa.RecordBatch], known: Aligner, number: int, block_pieces: int, remembered: int
+) -> Iterator[pa.RecordBatch]:
+    """The blocks of a task, from ``number`` on. Workers outlive their tasks, so in the end
+    nothing stays remembered."""
+    ids, own, pieces, schema = [], [], 0, None
+    known.forget()
+    for part in parts:
+        schema = schema or _arrow_schema(part["doc_id"].type)
+        for first in range(0, part.num_rows, _TEXTS_AT_ONCE):
+            some = part.slice(first, _TEXTS_AT_ONCE)
+            found = known.learn([x or "" for x in some["text"].to_pylist()])
+            # A copy, so that the ids do not keep their whole batch.
+            ids.append(pa.array(some["doc_id"].to_pylist(), some["doc_id"].type))
+            own += found
+            pieces += sum(map(len, found))
+            if pieces >= block_pieces:
+                yield _block(number, pa.concat_arrays(ids), own, known, schema)
+                number, ids, own, pieces = number + 1, [], [], 0
+                if len(known.told) > remembered:
+                    known.forget()
+    if own:
+        yield _block(number, pa.concat_arrays(ids), own, known, schema)
+    known.forget()
+    pa.default_memory_pool().release_unused()
+
+
 def _arrow_schema(doc_id: pa.DataType) -> pa.Schema:
     kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()),
              "array<long>": pa.list_(pa.int64()), "{kind}": doc_id}

@@ -164,6 +164,16 @@ def test_alignment_equals_the_plain_one(spark, sf_dir, limits):
     assert alignment.aligned(docs.limit(0), A, B).count() == 0
 
 
+def test_a_task_leaves_no_pieces_in_its_worker():
+    known = alignment.Aligner(A, B)
+    texts = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(900)]
+    parts = [pa.record_batch([pa.array(range(900)), pa.array(texts)], ["doc_id", "text"])]
+    most = [len(known.told) for _ in alignment._dealt(iter(parts), known, 0, 5_000, 1_000)]
+    assert len(most) > 2 and max(most) <= 6_000
+    assert not known.told and not known.number
+    assert alignment.REMEMBERED < alignment.BLOCK_PIECES
+
+
 def test_cut_pieces_join_to_the_text():
     for text in ("", "a", " a", "a  b c\n d", "  ", "a \x1cb", "x y  "):
         assert "".join(alignment.cut(text)) == " " + text
