@@ -86,7 +86,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
-def compared(docs: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """Each row's fingerprint, its next row's, and that of a text made of both.
 
     Rows are in descending order of doc_id, then of a hash of the text; rows without a
@@ -97,16 +97,22 @@ def compared(docs: DataFrame) -> DataFrame:
     without words have equal fingerprints. A single row is next to itself; an empty table
     gives no rows.
 
-    Texts are shuffled once, by ranges of doc_id. The first rows of a range go to the
-    range before it as well, so that every task finds the next text of its own last row.
+    Texts are shuffled once, compressed, by ranges of doc_id. The first rows of a range go
+    to the range before it as well, so that every task finds the next text of its own last
+    row. With ``classes``, the rows of ``near_duplicates(docs)``, there are also class_id and
+    class_rows: these narrow rows go to the ranges with the texts, so that fingerprints,
+    which are as large as the texts, are not shuffled.
     """
     ranges = frames.tasks(docs)
+    kind = _kind(docs)
+    result = f"row_key long, doc_id {kind}, {_RESULT}"
+    if classes is not None:
+        result += f", class_id {kind}, class_rows long"
     (bucket_of, heads) = _ranges(docs.select("doc_id", "text"), ranges)
     if not heads:
-        return docs.sparkSession.createDataFrame([], f"row_key long, doc_id {_kind(docs)}, {_RESULT}")
+        return docs.sparkSession.createDataFrame([], result)
     order = sorted(heads)
     before = {b: order[k - 1] for k, b in enumerate(order)}  # the first is next to the last
-    text = F.col("text")
     is_head = [
         F.when(
             (F.col("bucket") == b)
@@ -124,24 +130,31 @@ def compared(docs: DataFrame) -> DataFrame:
             ),
         )
     )
-    dealt = (
+    marked = (
         docs.select("doc_id", "text")
         .withColumn("bucket", bucket_of)
         .withColumn("target", F.coalesce(*is_head))
-        .withColumn("copy", F.explode(copies))
         .select(
-            frames.row_key().alias("row_key"), "doc_id", frames.whole_text().alias("text"), "copy.*"
-        )
-        .repartitionById(ranges + 1, "range")
-        .sortWithinPartitions(
-            "range", "only_next", F.col("doc_id").desc_nulls_last(), F.xxhash64(text)
+            "bucket", "target", "doc_id", frames.row_key().alias("row_key"),
+            F.xxhash64(frames.whole_text()).alias("node"),
+            frames.whole_text().cast("binary").alias("text"),
         )
+    )
+    dealt = _packed(marked).withColumn("copy", F.explode(copies)).select(*_DEALT, "copy.*")
+    if classes is not None:
+        # Equal rows are of one class.
+        of_row = classes.select(
+            "doc_id", "node", bucket_of.alias("range"), F.lit(False).alias("only_next"), "class_id", "class_rows"
+        ).distinct()
+        dealt = dealt.unionByName(of_row, allowMissingColumns=True)
+    dealt = dealt.repartitionById(ranges + 1, "range").sortWithinPartitions(
+        "range", "only_next", F.col("doc_id").desc_nulls_last(), "node", F.col("row_key").asc_nulls_first()
     )
     factors, summands = functions()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for part in parts:
+        for part in _unpacked(parts):
             if not part.num_rows:
                 continue
             rows = pa.Table.from_batches([part])
@@ -154,7 +167,56 @@ def compared(docs: DataFrame) -> DataFrame:
             # A copy, so that the last row does not keep the whole batch.
             held = (pa.Table.from_pylist(rows.slice(rows.num_rows - 1).to_pylist(), rows.schema), signature[-1:].copy())
 
-    return shipping.map_batches(dealt, batches, f"row_key long, doc_id {_kind(docs)}, {_RESULT}")
+    return shipping.map_batches(dealt, batches, result)
+
+
+_DEALT = ["doc_id", "row_key", "node", "packed", "n_bytes"]
+
+
+def _packed(marked: DataFrame) -> DataFrame:
+    """``marked`` with ``packed`` and ``n_bytes`` in place of the bytes ``text``."""
+    kind = _kind(marked)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 3)
+        for part in parts:
+            for first in range(0, part.num_rows, 1000):
+                some = part.slice(first, 1000)
+                whole = some["text"].to_pylist()
+                packed = pa.array([codec.compress(x, asbytes=True) for x in whole], pa.binary())
+                sizes = pa.array([len(x) for x in whole], pa.int64())
+                kept = [some[c] for c in names]
+                yield pa.record_batch([*kept, packed, sizes], [*names, "packed", "n_bytes"])
+
+    names = ["bucket", "target", "doc_id", "row_key", "node"]
+    schema = f"bucket int, target int, doc_id {kind}, row_key long, node long, packed binary, n_bytes long"
+    return shipping.map_batches(marked, batches, schema)
+
+
+def _unpacked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of texts, each with its text and the class of the row of classes before it."""
+    codec = pa.Codec("zstd", 3)
+    said = None  # the last row of classes
+    for part in (x.slice(k, 1000) for x in parts for k in range(0, x.num_rows, 1000)):
+        names = [c for c in ("class_id", "class_rows") if c in part.schema.names]
+        is_text = part["row_key"].is_valid().to_numpy(zero_copy_only=False)
+        rows = part.filter(pa.array(is_text))
+        whole = [
+            codec.decompress(x, n, asbytes=True)
+            for x, n in zip(rows["packed"].to_pylist(), rows["n_bytes"].to_pylist(), strict=True)
+        ]
+        columns = [rows[c] for c in ("row_key", "doc_id", "only_next")]
+        columns.append(pa.array(whole, pa.large_binary()).cast(pa.large_string()))
+        if names:
+            told = pa.Table.from_batches([part.select(names).filter(pa.array(~is_text))])
+            told = told if said is None else pa.concat_tables([said, told])
+            at = (np.cumsum(~is_text) - (said is None))[is_text]
+            # A range may begin with texts of the next one, which need no class.
+            found = told.take(pa.array(at, mask=at < 0)).combine_chunks()
+            columns += [pa.concat_arrays(found[c].chunks) if found[c].num_chunks else pa.nulls(0, found[c].type) for c in names]
+            said = pa.Table.from_pylist(told.slice(max(0, told.num_rows - 1)).to_pylist(), told.schema)
+            said = said if said.num_rows else None
+        yield pa.record_batch(columns, ["row_key", "doc_id", "only_next", "text", *names])
 
 
 _RESULT = (
@@ -172,6 +234,7 @@ def _pairs(rows: pa.Table, signature: np.ndarray, factors, summands) -> Iterator
     own = np.flatnonzero(~rows["only_next"].to_numpy()[:-1])
     keys, ids = rows["row_key"].combine_chunks(), rows["doc_id"].combine_chunks()
     column = rows["text"].combine_chunks()
+    given = [c for c in ("class_id", "class_rows") if c in rows.column_names]
     for first in range(0, len(own), 500):
         some = own[first : first + 500]
         low, high = int(some[0]), int(some[-1])
@@ -189,8 +252,9 @@ def _pairs(rows: pa.Table, signature: np.ndarray, factors, summands) -> Iterator
                 pa.array([hexadecimal(x) for x in changed]),
                 pa.array(likeness(signature[some], changed)),
                 pa.array(likeness(signature[some], signature[some + 1])),
+                *(rows[c].combine_chunks().take(pa.array(some)) for c in given),
             ],
-            ["row_key", "doc_id", *(c.split()[0] for c in _RESULT.split(", "))],
+            ["row_key", "doc_id", *(c.split()[0] for c in _RESULT.split(", ")), *given],
         )
 
 
@@ -241,30 +305,42 @@ def banded(docs: DataFrame) -> DataFrame:
     return shipping.map_batches(own, batches, schema)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles): the set of shingle hashes of each text among ``nodes``."""
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles): the set of shingle hashes of the texts in ``wanted`` (node, row_key).
+
+    The texts are not shuffled: a filter of fixed size, which few others pass, goes to all
+    tasks.
+    """
+    bitmap = frames.key_filter(wanted.select("row_key"))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
+            some = part.filter(pa.array(frames.passing(bitmap, part["row_key"].to_numpy())))
             found: list[np.ndarray] = []
-            for _, data, offsets in texts.slices(part["text"]):
+            for _, data, offsets in texts.slices(some["text"]):
                 hashes, first = shingles(data, offsets)
-                whole = hashes.astype(np.int64)
+                whole = hashes.astype(np.uint32).view(np.int32)
                 found += [np.unique(whole[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.record_batch(
-                [part["node"], pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"]
+                [some["node"], pa.array(found, pa.list_(pa.int32()))], ["node", "shingles"]
             )
 
-    text = frames.whole_text()
-    own = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
-    wanted = own.join(nodes.distinct(), "node", "left_semi").dropDuplicates(["node"])
-    return shipping.map_batches(wanted, batches, "node long, shingles array<long>")
+    own = docs.select(
+        F.xxhash64(frames.whole_text()).alias("node"), frames.row_key().alias("row_key"), "text"
+    )
+    made = shipping.map_batches(own, batches, "node long, shingles array<int>")
+    return made.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (node, other) whose shingle sets are as similar as ``least``."""
-    others = sets.select(F.col("node").alias("other"), F.col("shingles").alias("other_shingles"))
-    both = frames.stored(pairs.distinct(), "candidates").join(sets, "node").join(others, "other")
+    pairs = frames.stored(pairs.distinct(), "candidates")
+    # Only the sets that are asked for are shuffled.
+    own = sets.join(pairs.select("node").distinct(), "node", "left_semi")
+    others = sets.withColumnRenamed("node", "other").join(
+        pairs.select("other").distinct(), "other", "left_semi"
+    ).withColumnRenamed("shingles", "other_shingles")
+    both = pairs.join(own, "node").join(others, "other")
     shared = F.size(F.array_intersect("shingles", "other_shingles"))
     every = F.size("shingles") + F.size("other_shingles") - shared
     # Without shingles on both sides the texts count as alike.
@@ -370,7 +446,7 @@ def _linked(rows: pa.Table, least: float) -> pa.RecordBatch:
 
 
 def classes(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """(row_key, doc_id, root) of each row: classes that similar texts connect.
+    """(row_key, doc_id, node, root) of each row: classes that similar texts connect.
 
     Signatures are cut into bands; texts with an equal band are candidates, and the
     Jaccard similarity of their shingle sets decides. First every text of a band is
@@ -387,7 +463,9 @@ def classes(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     bands = frames.stored(
         member.join(frames.stored(shared.select("band"), "shared-bands"), "band"), "banded-texts"
     )
-    sets = frames.stored(_sets(docs, bands.select("node")), "shingle-sets")
+    wanted = marked.join(bands.select("node").distinct(), "node", "left_semi")
+    wanted = frames.stored(wanted.groupBy("node").agg(F.min("row_key").alias("row_key")), "banded-rows")
+    sets = frames.stored(_sets(docs, wanted), "shingle-sets")
     links = _verified(_centred(bands.withColumn("root", F.col("node")), 0), sets, least)
     open_ = _open(bands, links)
     for turn in range(1, TURNS):
@@ -407,14 +485,14 @@ def classes(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     )
     roots = frames.stored(components.connected(links), "classes")
     return marked.join(roots, "node", "left").select(
-        "row_key", "doc_id", F.coalesce("root", "node").alias("root")
+        "row_key", "doc_id", "node", F.coalesce("root", "node").alias("root")
     )
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """(row_key, doc_id, class_id, class_rows) of each row, with ``classes`` named.
+    """(row_key, doc_id, node, class_id, class_rows) of each row, with ``classes`` named.
 
-    ``class_id`` is the smallest doc_id of the class, NULL if all of its ids are;
+    ``node`` is a hash of the text, ``class_id`` is the smallest doc_id of the class, NULL if all of its ids are;
     ``class_rows`` counts its rows. NULL, empty and wordless texts are one class. An empty
     table gives no rows.
     """
@@ -423,7 +501,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows")
     )
     return placed.join(frames.stored(ids, "class-ids"), "root").select(
-        "row_key", "doc_id", "class_id", "class_rows"
+        "row_key", "doc_id", "node", "class_id", "class_rows"
     )
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ LANE_ROWS = 20_000
 #: Lanes per key, as a power of two, however small the table is: enough to spread one
 #: key that holds most of the rows.
 LEAST_LANE_BITS = 8
+#: Bits of the filter of wanted row keys; a full one lets others pass.
+FILTER_BITS = 1 << 24
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -65,6 +68,25 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), whole_text(text))
 
 
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit for each ``row_key``, as a bitmap of ``FILTER_BITS`` bits."""
+    place = F.pmod(F.col("row_key"), F.lit(FILTER_BITS)).alias("place")
+    bit = F.expr("shiftleft(1L, cast(place & 31 AS int))")
+    words = keys.select(place).groupBy(F.shiftright("place", 5).alias("word")).agg(
+        F.bit_or(bit).alias("bits")
+    )
+    found = words.toArrow()
+    bitmap = np.zeros(FILTER_BITS // 32, np.uint32)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    return bitmap
+
+
+def passing(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which row keys a filter lets pass: all that are in it, and some others."""
+    place = np.mod(keys, len(bitmap) * 32)
+    return ((bitmap[place >> 5] >> (place & 31).astype(np.uint32)) & 1).astype(bool)
+
+
 def lane_bits(rows: int) -> int:
     return max(LEAST_LANE_BITS, math.ceil(math.log2(max(1, rows / LANE_ROWS))))
 

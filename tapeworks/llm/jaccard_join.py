@@ -38,8 +38,6 @@ LAST = 1_000_000
 #: Sets of a cell, and of a block of a hot list; turns of a drawn set against the others of a
 #: list of several blocks.
 CELL, BLOCK, TURNS = 256, 2048, 3
-#: Bits of the filter that tells which texts are candidates'; a full one lets others pass.
-FILTER_BITS = 1 << 24
 #: Rows of a table that goes to all tasks, at most; a larger one is joined by a shuffle.
 SENT_ROWS = 1 << 18
 _FACTOR = np.uint64(0x100000001B3)
@@ -370,31 +368,16 @@ def _possible_pairs(pairs: DataFrame, narrow: DataFrame, least: int) -> DataFram
     return both.filter(_possible(shared, F.col("n"), F.col("m"), least)).select("node", "other")
 
 
-def _filter_words(keys: DataFrame) -> np.ndarray:
-    """A bit for each ``row_key``, as a bitmap of ``FILTER_BITS`` bits."""
-    place = F.pmod(F.col("row_key"), F.lit(FILTER_BITS)).alias("place")
-    bit = F.expr("shiftleft(1L, cast(place & 31 AS int))")
-    words = keys.select(place).groupBy(F.shiftright("place", 5).alias("word")).agg(
-        F.bit_or(bit).alias("bits")
-    )
-    found = words.toArrow()
-    bitmap = np.zeros(FILTER_BITS // 32, np.uint32)
-    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
-    return bitmap
-
-
 def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the rows whose ``row_key`` is in ``wanted``, and of few others.
 
     The texts are not shuffled: the filter, of fixed size, goes to all tasks.
     """
-    bitmap = _filter_words(wanted)
+    bitmap = frames.key_filter(wanted)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            place = np.mod(part["row_key"].to_numpy(), FILTER_BITS)
-            passes = (bitmap[place >> 5] >> (place & 31).astype(np.uint32)) & 1
-            some = part.filter(pa.array(passes.astype(bool)))
+            some = part.filter(pa.array(frames.passing(bitmap, part["row_key"].to_numpy())))
             for first in range(0, some.num_rows, 500):
                 own = [x for x in sets(some["text"].slice(first, 500)) if len(x)]
                 yield pa.record_batch(

@@ -52,10 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, how alike edited texts are, and near-duplicate classes."""
     docs = table(spark, sf_dir, "documents")
-    found = fingerprints.near_duplicates(docs).select("row_key", "class_id", "class_rows")
-    # Equal rows are of one class; stored, as it is narrow beside the fingerprints.
-    of_row = frames.stored(found.distinct(), "classes-of-rows")
-    return fingerprints.compared(docs).join(of_row, "row_key").drop("row_key")
+    found = frames.stored(fingerprints.near_duplicates(docs).drop("row_key"), "classes-of-rows")
+    return fingerprints.compared(docs, found).drop("row_key")
 
 
 @query()

@@ -276,6 +276,21 @@ def test_fingerprints_of_the_query_come_with_their_classes(spark, sf_dir):
         assert found[doc_id]["class_rows"] == (label == root).sum()
 
 
+def test_classes_go_to_the_fingerprints_not_back(spark):
+    rows = [(k, f"a b c d e f{k // 3} g h") for k in range(40)]
+    docs = helpers.awkward(spark).unionByName(helpers.documents(spark, *rows, *rows[:5], (None, rows[0][1])))
+    found = fingerprints.near_duplicates(docs)
+    given = fingerprints.compared(docs, found)
+    of_row = found.select("row_key", "class_id", "class_rows").distinct()
+    joined = fingerprints.compared(docs).join(of_row, "row_key").select(*given.columns)
+    plain = lambda df: sorted(map(repr, df.collect()))
+    assert plain(given) == plain(joined) and given.count() == docs.count()
+    plan = given._jdf.queryExecution().optimizedPlan().toString()
+    # Above the fingerprints is nothing: they are as large as the texts.
+    assert "Join" not in plan[: plan.index("MapInArrow")] and plan.startswith("MapInArrow")
+    assert fingerprints.compared(docs.limit(0), found).columns == given.columns
+
+
 def test_pieces_encode_like_whole_texts():
     rnd = random.Random(1)
     parts = ["a", " ", "  ", "\n", "\t", " \n", "é", "1", "'s", "!", "<|endoftext|>", "\x1c", "\x85", " "]
