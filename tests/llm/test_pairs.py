@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tapeworks.llm import alignment, jaccard_join, prefix_trie
+from tapeworks.llm import alignment, frames, jaccard_join, prefix_trie
 from tests.llm import helpers
 
 TURN = "conv_id long, turn long, role string, text string"
@@ -242,6 +242,20 @@ def test_join_equals_all_pairs(spark, monkeypatch, limits):
     assert sorted(map(tuple, found), key=repr) == plain_join(rows)
 
 
+def test_no_whole_sets_are_stored(spark, monkeypatch):
+    stored = []
+    keep = frames.stored
+    monkeypatch.setattr(frames, "stored", lambda df, label: stored.append(df.columns) or keep(df, label))
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(6):
+        words = [f"w{rnd.randint(0, 99)}" for _ in range(60)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join([*words, "end"]))]
+    found = jaccard_join.plan(helpers.documents(spark, *rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {k: k - k % 2 for k, _ in rows}
+    assert stored and not any("shingles" in columns for columns in stored)
+
+
 def test_join_of_nothing(spark):
     assert jaccard_join.plan(helpers.awkward(spark).limit(0)).count() == 0
 
