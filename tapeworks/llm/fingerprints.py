@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -305,6 +306,24 @@ def banded(docs: DataFrame) -> DataFrame:
     return shipping.map_batches(own, batches, schema)
 
 
+def _passing(marked: DataFrame, shared: DataFrame) -> DataFrame:
+    """(node, band) of the rows of ``marked`` whose band is in ``shared``, and of few others.
+
+    A filter of fixed size goes to all tasks, so that most bands, which one text has, are
+    not shuffled again.
+    """
+    bitmap = frames.key_filter(shared.select(F.col("band").alias("row_key")))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            bands = part["bands"].flatten().to_numpy()
+            at = np.flatnonzero(frames.passing(bitmap, bands))
+            nodes = part["node"].to_numpy()[at // BANDS]
+            yield pa.record_batch([pa.array(nodes), pa.array(bands[at])], ["node", "band"])
+
+    return shipping.map_batches(marked.select("node", "bands"), batches, "node long, band long")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles): the set of shingle hashes of the texts in ``wanted`` (node, row_key).
 
@@ -361,7 +380,7 @@ def _centred(open_: DataFrame, turn: int) -> DataFrame:
 
 def _open(bands: DataFrame, links: DataFrame) -> DataFrame:
     """(band, node, root, texts) of the bands whose texts are not all connected."""
-    roots = frames.stored(components.connected(links), "roots")
+    roots = frames.concluded(partial(components.connected, links), "roots")
     member = frames.stored(
         bands.join(roots, "node", "left").select(
             "band", "node", F.coalesce("root", "node").alias("root")
@@ -460,9 +479,8 @@ def classes(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
         "node", F.explode("bands").alias("band")
     )
     shared = member.groupBy("band").agg(F.count("*").alias("texts")).filter("texts > 1")
-    bands = frames.stored(
-        member.join(frames.stored(shared.select("band"), "shared-bands"), "band"), "banded-texts"
-    )
+    shared = frames.stored(shared.select("band"), "shared-bands")
+    bands = frames.stored(_passing(marked, shared).distinct().join(shared, "band"), "banded-texts")
     wanted = marked.join(bands.select("node").distinct(), "node", "left_semi")
     wanted = frames.stored(wanted.groupBy("node").agg(F.min("row_key").alias("row_key")), "banded-rows")
     sets = frames.stored(_sets(docs, wanted), "shingle-sets")
@@ -483,7 +501,7 @@ def classes(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     links = links.unionByName(_verified(pairs, sets, least)).unionByName(
         _blocked(open_.filter(F.col("texts") > SMALL_BAND), sets, least)
     )
-    roots = frames.stored(components.connected(links), "classes")
+    roots = frames.concluded(partial(components.connected, links), "classes")
     return marked.join(roots, "node", "left").select(
         "row_key", "doc_id", "node", F.coalesce("root", "node").alias("root")
     )

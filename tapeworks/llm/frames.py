@@ -5,12 +5,14 @@ running totals over many tasks, and the way back from a narrow plan to whole row
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks import session
+from tapeworks import session, storage
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # The code points of [\x20\x09-\x0D].
@@ -23,6 +25,8 @@ LANE_ROWS = 20_000
 LEAST_LANE_BITS = 8
 #: Bits of the filter of wanted row keys; a full one lets others pass.
 FILTER_BITS = 1 << 24
+#: Paths of the steps stored since the innermost ``concluded`` began.
+_STEPS: ContextVar[list[str] | None] = ContextVar("steps", default=None)
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -42,13 +46,35 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     It cuts the lineage: what is built on it is not computed again when an executor is
-    lost, and a result that depends on the order of arrival stays as it was.
+    lost, and a result that depends on the order of arrival stays as it was. The shuffle
+    files behind it go when it is written.
     """
     path = session.scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    with session.step_settings(df.sparkSession):
+        df.write.parquet(path)
+    if (steps := _STEPS.get()) is not None:
+        steps.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def concluded(build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``build()``, stored; the steps that ``build`` stores are discarded then.
+
+    No frame that it leaves to others may read these steps.
+    """
+    outer, own = _STEPS.get(), []
+    token = _STEPS.set(own)
+    try:
+        result = stored(build(), label)
+    finally:
+        _STEPS.reset(token)
+    for path in own[:-1]:
+        storage.discard(result.sparkSession, path)
+    if outer is not None:
+        outer.append(own[-1])
+    return result
+
+
 def tasks(df: DataFrame) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -75,7 +101,8 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     words = keys.select(place).groupBy(F.shiftright("place", 5).alias("word")).agg(
         F.bit_or(bit).alias("bits")
     )
-    found = words.toArrow()
+    with session.step_settings(keys.sparkSession):
+        found = words.toArrow()
     bitmap = np.zeros(FILTER_BITS // 32, np.uint32)
     bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return bitmap

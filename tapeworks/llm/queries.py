@@ -52,7 +52,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, how alike edited texts are, and near-duplicate classes."""
     docs = table(spark, sf_dir, "documents")
-    found = frames.stored(fingerprints.near_duplicates(docs).drop("row_key"), "classes-of-rows")
+    found = frames.concluded(
+        lambda: fingerprints.near_duplicates(docs).drop("row_key"), "classes-of-rows"
+    )
     return fingerprints.compared(docs, found).drop("row_key")
 
 

@@ -27,6 +27,12 @@ STATE_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+# Settings for a step that is stored: its shuffle files go as soon as it is written, and
+# Arrow batches of whole texts stay small, in the executors and in their Python workers.
+STEP_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 PARTITIONS = "spark.sql.shuffle.partitions"
 _STARTING = threading.Lock()
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -53,17 +59,30 @@ def stream_settings(spark: SparkSession, partitions: int | None = None) -> Itera
         wanted = {k: v for k, v in STATE_SETTINGS.items() if spark.conf.get(k, None) is None}
         if partitions:
             wanted[PARTITIONS] = str(partitions)
-        before = {key: spark.conf.get(key, None) for key in wanted}
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        try:
+        with _set(spark, wanted):
             yield
-        finally:
-            for key, value in before.items():
-                if value is None:
-                    spark.conf.unset(key)
-                else:
-                    spark.conf.set(key, value)
+
+
+@contextmanager
+def step_settings(spark: SparkSession) -> Iterator[None]:
+    """``STEP_SETTINGS`` for what is run inside the block."""
+    with _set(spark, STEP_SETTINGS):
+        yield
+
+
+@contextmanager
+def _set(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:

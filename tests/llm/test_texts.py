@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -14,12 +15,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tapeworks import session
+from tapeworks import session, storage
 from tapeworks.llm import (
     chat,
     components,
     decontamination,
     fingerprints,
+    frames,
     quality,
     queries,
     simhash,
@@ -437,3 +439,44 @@ def test_slices_cover_every_text():
         for k in range(len(offsets) - 1):
             seen.append((first + k, data[offsets[k] : offsets[k + 1]].tobytes().decode()))
     assert seen == list(enumerate(["a" * 10, "", "", "b" * 100, "c"]))
+
+
+def _shuffle_files(spark) -> int:
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+
+def test_the_shuffle_files_of_a_stored_step_go_with_it(spark):
+    before = _shuffle_files(spark)
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    assert len(frames.stored(counted, "counted").collect()) == 10
+    for _ in range(50):
+        if _shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) != "true"
+
+
+def test_steps_on_the_way_are_discarded(spark):
+    seen = []
+
+    def build():
+        one = frames.stored(spark.range(10), "one")
+        two = frames.concluded(lambda: frames.stored(one.filter("id > 2"), "inner").filter("id > 4"), "two")
+        seen.extend([*one.inputFiles(), *two.inputFiles()])
+        return two.join(one, "id")
+
+    found = frames.concluded(build, "last")
+    assert sorted(r["id"] for r in found.collect()) == [5, 6, 7, 8, 9]
+    assert seen and not any(storage.exists(spark, path) for path in seen)
+
+
+def test_bands_that_one_text_has_are_not_shuffled_again(spark):
+    same = " ".join(f"w{k}" for k in range(40))
+    docs = helpers.documents(spark, (1, same), (2, f"{same} tail"), (3, "all other words here today"), (4, None))
+    marked = fingerprints.banded(docs)
+    member = marked.select("node", F.explode("bands").alias("band"))
+    shared = member.groupBy("band").agg(F.count_distinct("node").alias("n")).filter("n > 1").select("band")
+    expected = sorted(map(tuple, member.join(shared, "band").select("node", "band").collect()))
+    found = sorted(map(tuple, fingerprints._passing(marked, shared).collect()))
+    assert set(expected) <= set(found) and 0 < len(expected) <= len(found) < member.count()
