@@ -23,12 +23,14 @@ shipped once per cell.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks import session
 from tapeworks.llm import components, frames, shipping, texts
 
 WORDS, LEAST = 5, 80
@@ -117,10 +119,14 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own in _different(parts):
-            found, counts = np.unique(np.concatenate(own), return_counts=True)
-            several = counts > 1
+            found = np.concatenate(own)
+            own.clear()  # the sets and their sorted copy are not held at once
+            found.sort()
+            again = found[1:] == found[:-1]
+            first = np.flatnonzero(again & np.concatenate([[True], ~again[:-1]])[: len(again)])
+            last = np.flatnonzero(again & np.concatenate([~again[1:], [True]])[: len(again)])
             yield pa.record_batch(
-                [pa.array(found[several].view(np.int64)), pa.array(counts[several])],
+                [pa.array(found[first].view(np.int64)), pa.array(last - first + 2)],
                 ["shingle", "n_sets"],
             )
 
@@ -132,8 +138,9 @@ def frequent(docs: DataFrame) -> np.ndarray:
         .orderBy(F.desc("n_sets"), "shingle")
         .limit(LAST)
         .select("shingle")
-        .toArrow()
     )
+    with session.step_settings(docs.sparkSession):
+        most = most.toArrow()
     return np.sort(most["shingle"].to_numpy().astype(np.uint64))
 
 
@@ -615,7 +622,7 @@ def classes(docs: DataFrame, least: int = LEAST) -> DataFrame:
     wanted = rows.groupBy("node").agg(F.min("row_key").alias("row_key"))
     whole = _whole_sets(docs, wanted)
     links = _links(_celled(least_one), None, whole, least)
-    roots = frames.stored(components.connected(links), "roots")
+    roots = frames.concluded(partial(components.connected, links), "roots")
     other_roots = roots.select(F.col("node").alias("other"), F.col("root").alias("other_root"))
     apart = (
         pairs.join(roots, "node", "left")
@@ -626,7 +633,7 @@ def classes(docs: DataFrame, least: int = LEAST) -> DataFrame:
     apart = frames.stored(apart, "apart")
     if not apart.isEmpty():
         links = links.unionByName(_links(_celled(apart), roots, whole, least))
-        roots = frames.stored(components.connected(links), "roots")
+        roots = frames.concluded(partial(components.connected, links), "roots")
     open_ = _open(hot, roots)
     for turn in range(TURNS):
         # Lists of several blocks: first each set with one that is drawn.
@@ -635,12 +642,12 @@ def classes(docs: DataFrame, least: int = LEAST) -> DataFrame:
         if drawn.isEmpty():
             break
         links = links.unionByName(_links(_celled(drawn), roots, whole, least))
-        roots = frames.stored(components.connected(links), "roots")
+        roots = frames.concluded(partial(components.connected, links), "roots")
         open_ = _open(hot, roots)
     cells = _survivors(_blocks(open_), narrow, least)
     if not cells.isEmpty():
         links = links.unionByName(_links(cells, roots, whole, least))
-        roots = frames.stored(components.connected(links), "roots")
+        roots = frames.concluded(partial(components.connected, links), "roots")
     return marks.join(roots, "node", "left").withColumn(
         "root", F.when(F.col("n") > 0, F.coalesce("root", "node"))
     )
@@ -655,7 +662,7 @@ def plan(docs: DataFrame, least: int = LEAST) -> DataFrame:
     root and their own doc_id for a component. A text of fewer words than a shingle is one
     shingle. An empty table gives no rows. Sets and shingles are told apart by 64 bits.
     """
-    placed = frames.stored(classes(docs, least), "set-classes")
+    placed = frames.concluded(lambda: classes(docs, least), "set-classes")
     ids = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     # Stored, so that the join with it may split the rows of a frequent set.
     joined = placed.join(frames.stored(ids, "component-ids"), "root", "left")

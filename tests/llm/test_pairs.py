@@ -14,6 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tapeworks import session, storage
 from tapeworks.llm import alignment, frames, jaccard_join, prefix_trie
 from tests.llm import helpers
 
@@ -268,3 +269,34 @@ def test_prefixes_and_sets():
     assert len(own) == 6 and (np.diff(own.astype(object)) > 0).all()
     last = np.sort(own[:2])
     assert jaccard_join.ordered(own, last).tolist() == [*own[2:].tolist(), *last.tolist()]
+
+
+def test_tasks_get_whole_texts_in_small_batches(spark):
+    docs = helpers.documents(spark, *((k, f"{k} " * 2500) for k in range(2000))).coalesce(1)
+
+    def sizes(parts):
+        for part in parts:
+            yield pa.record_batch([pa.array([part.num_rows]), pa.array([part.nbytes])], ["n_rows", "n_bytes"])
+
+    found = frames.stored(docs.select("text").mapInArrow(sizes, "n_rows long, n_bytes long"), "sizes").collect()
+    assert sum(r["n_rows"] for r in found) == 2000 and sum(r["n_bytes"] for r in found) > 20_000_000
+    assert max(r["n_bytes"] for r in found) < 8 << 20
+
+
+def test_frequent_shingles_are_counted_over_different_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT", 2)
+    rows = [(k, f"a b c d e f {k}") for k in range(4)] + [(9, "a b c d e f 0"), (10, "p q r s t u"), (11, None), (12, "one")]
+    found = jaccard_join.frequent(helpers.documents(spark, *rows).coalesce(1))
+    own = list(jaccard_join.sets(pa.array([text for _, text in rows])))
+    counts = Counter(x for one in {y.tobytes(): y for y in own}.values() for x in one.tolist())
+    assert found.tolist() == sorted(x for x, n in counts.items() if n > 2) and len(found) == 2
+
+
+def test_the_join_leaves_only_the_steps_that_its_result_reads(spark, monkeypatch):
+    named, scratch = [], session.scratch
+    monkeypatch.setattr(session, "scratch", lambda s, label: named.append(scratch(s, label)) or named[-1])
+    text = " ".join(f"w{k}" for k in range(60))
+    found = jaccard_join.plan(helpers.documents(spark, (1, text), (2, f"{text} x"), (3, "other words")))
+    left = [path.split("/")[-1][:-33] for path in named if storage.exists(spark, path)]
+    assert left == ["set-classes", "component-ids"] and len(named) > 10
+    assert sorted((r["doc_id"], r["component_id"]) for r in found.collect()) == [(1, 1), (2, 1), (3, 3)]
