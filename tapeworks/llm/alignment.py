@@ -356,14 +356,14 @@ def pair_counts(made: DataFrame, same: np.ndarray) -> DataFrame:
     zipped = F.explode(F.arrays_zip("pairs", "pair_links")).alias("x")
     irregular = made.select(zipped).select(F.col("x.pairs").alias("pair"), F.col("x.pair_links").alias("links"))
     own = F.explode(F.arrays_zip("own_ids", "own_links")).alias("x")
-    # At most a row per id of A's vocabulary.
-    vector = made.select(own).groupBy("x.own_ids").agg(F.sum("x.own_links")).collect()
+    # At most a row per id of A's vocabulary; as Arrow, for which no executor starts Python.
+    vector = made.select(own).groupBy("x.own_ids").agg(F.sum("x.own_links").alias("links")).toArrow()
+    ids = vector["own_ids"].to_numpy().astype(np.int64)
     regular = spark.createDataFrame(
-        [((i << 32) | int(same[i]), links) for i, links in vector], "pair long, links long"
-    )
-    counted = frames.stored(
-        irregular.unionByName(regular).groupBy("pair").agg(F.sum("links").alias("links")), "pair-counts"
+        pa.table({"pair": pa.array((ids << 32) | same[ids], pa.int64()), "links": vector["links"]})
     )
+    # Both sides of the join below read the same shuffle of sums.
+    counted = irregular.unionByName(regular).groupBy("pair").agg(F.sum("links").alias("links"))
     b_id = F.col("pair").bitwiseAND(int(_LOW))
     best = counted.groupBy(b_id.alias("b_id")).agg(F.max("links").alias("best"))
     return counted.withColumn("b_id", b_id).join(best, "b_id").select(
@@ -387,11 +387,13 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, **limits: int) -> DataFra
     made = frames.stored(blocks(docs, path_a, path_b, **limits), "aligned-blocks")
     counted = frames.stored(pair_counts(made, same), "pairs")
     links, best = np.zeros(len(same), np.int64), np.zeros(len(same), np.int64)
+    own_ids = np.flatnonzero(same >= 0)
     regular = spark.createDataFrame(
-        [((i << 32) | int(b), i) for i, b in enumerate(same.tolist()) if b >= 0], "pair long, a_id int"
+        pa.table({"pair": (own_ids << 32) | same[own_ids], "a_id": own_ids.astype(np.int32)})
     )
-    for row in counted.join(regular, "pair").collect():  # at most a row per A id
-        links[row["a_id"]], best[row["a_id"]] = row["links"], row["is_best"]
+    found = counted.join(regular, "pair").select("a_id", "links", "is_best").toArrow()  # at most a row per A id
+    links[found["a_id"].to_numpy()] = found["links"].to_numpy()
+    best[found["a_id"].to_numpy()] = found["is_best"].to_numpy()
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
         return _summed(left, right, links, best)

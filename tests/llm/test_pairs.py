@@ -175,6 +175,21 @@ def test_a_task_leaves_no_pieces_in_its_worker():
     assert alignment.REMEMBERED < alignment.BLOCK_PIECES
 
 
+def test_pairs_are_counted_without_python_tasks_or_a_stored_step(spark, monkeypatch):
+    texts = [(k, f"word{k % 7} ünï{k % 3} odd\u00adness {k}") for k in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    made = frames.stored(alignment.blocks(docs, A, B, 40, 60), "blocks")
+    monkeypatch.setattr(frames, "stored", None)
+    found = alignment.pair_counts(made, alignment.aligner(A, B).same)
+    rows, best = found.collect(), Counter()
+    assert sum(r["links"] for r in rows) == sum(x[4] for x in plain_alignment(texts))
+    for pair, links, _ in rows:
+        best[pair & 0xFFFFFFFF] = max(best[pair & 0xFFFFFFFF], links)
+    assert all(is_best == (links == best[pair & 0xFFFFFFFF]) for pair, links, is_best in rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "ReusedExchange" in plan
+
+
 def test_cut_pieces_join_to_the_text():
     for text in ("", "a", " a", "a  b c\n d", "  ", "a \x1cb", "x y  "):
         assert "".join(alignment.cut(text)) == " " + text
