@@ -17,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tapeworks import session
 from tapeworks.llm import frames
@@ -96,7 +95,7 @@ class LineRuns:
         if not self.levels:
             self._put(0, own.withColumn("first", F.lit(True)))
             return
-        # Stored, as both joins read it.
+        # Stored, as both joins read it; Spark would also join a batch's lines before counting.
         counted = frames.stored(own, "batch-run")
         new = self.unseen(counted).withColumn("first", F.lit(True))
         known = counted.join(self._firsts(), KEY, "left_semi").withColumn("first", F.lit(False))
@@ -112,7 +111,7 @@ class LineRuns:
         """One row per key over all runs."""
         paths = self._paths()
         if not paths:
-            return self.spark.createDataFrame([], _RUN)
+            return self._none()
         return self._read(paths[0]) if len(paths) == 1 else self._merge(paths)
 
     def unseen(self, batch: DataFrame) -> DataFrame:
@@ -124,8 +123,14 @@ class LineRuns:
 
     def _firsts(self) -> DataFrame:
         """Every key of the runs, once."""
-        runs = [self._read(path).filter("first").select(*KEY) for path in self._paths()]
-        return reduce(DataFrame.unionByName, runs, self.spark.createDataFrame([], _RUN).select(*KEY))
+        runs = [self._read(path).filter("first") for path in self._paths()] or [self._none()]
+        return reduce(DataFrame.unionByName, [run.select(*KEY) for run in runs])
+
+    def _none(self) -> DataFrame:
+        """A run without keys, for which no executor starts Python."""
+        return self.spark.range(0).selectExpr(
+            *(f"CAST(id AS {kind}) AS {name}" for name, kind in map(str.split, _RUN.split(", ")))
+        )
 
     def given_up(self, batch: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
         """The lines of ``batch`` to drop.
@@ -150,7 +155,8 @@ class LineRuns:
     def _put(self, level: int, run: DataFrame) -> None:
         path = f"{self.folder}/level-{level}-run-{self._written}"
         self._written += 1
-        run.sortWithinPartitions(*KEY).write.parquet(path)
+        with session.step_settings(self.spark):
+            run.sortWithinPartitions(*KEY).write.parquet(path)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(path)
@@ -170,13 +176,10 @@ def dedup(
     three names are replaced, all others kept.
     """
     spark = docs.sparkSession
-    # A folder per batch, so that each is read once by its run and once in the end.
-    path = session.scratch(spark, "lines")
+    # A file per task, in order of batches, so that a run reads the pages of its own batch.
     batch_of = F.pmod(F.col("row_key"), F.lit(batches)).cast("int")
-    long_enough = lines(docs, least_chars)
-    long_enough.withColumn(_BATCH, batch_of).write.partitionBy(_BATCH).parquet(path)
-    kind = T.StructType([*long_enough.schema, T.StructField(_BATCH, T.IntegerType())])
-    found = spark.read.schema(kind).parquet(path)
+    long_enough = lines(docs, least_chars).withColumn(_BATCH, batch_of)
+    found = frames.stored(long_enough.sortWithinPartitions(_BATCH), "lines")
     runs = LineRuns(spark, session.scratch(spark, "line-runs"))
     for batch in range(batches):
         runs.add(found.filter(F.col(_BATCH) == batch).drop(_BATCH))

@@ -1,6 +1,7 @@
 """Sharding, mixing, line dedup and licences."""
 
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,6 +204,21 @@ def test_line_dedup_levels_its_runs_and_anti_joins_each_batch(spark, monkeypatch
     assert len(asked) == 3 and all(new < every and merge for new, every, merge in asked)
 
 
+def test_line_dedup_stores_one_file_of_lines_per_task_and_starts_no_python(spark):
+    rows = [(k, f"{'line ' * 10}{k % 7}\n{'own ' * 12}{k}") for k in range(60)]
+    folder = Path(session.shared_folder(spark))
+    before = set(folder.iterdir())
+    kept = line_runs.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert kept.agg(F.sum("n_dropped")).first()[0] == 60 - 7
+    made = {path.name.rsplit("-", 1)[0]: path for path in set(folder.iterdir()) - before}
+    # Each file costs a process where Spark writes it.
+    lines = made["lines"]
+    assert len(list(lines.rglob("*.parquet"))) <= 3
+    runs = line_runs.LineRuns(spark, session.scratch(spark, "test-runs"))
+    for none in (runs.merged(), runs.unseen(runs.merged())):
+        assert none.count() == 0 and "ExistingRDD" not in helpers_plan(none)
+
+
 def helpers_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
