@@ -13,12 +13,10 @@ The container is Parquet, one row per shard, written by the tasks that made the
 from __future__ import annotations
 
 import json
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tapeworks.llm import frames, shipping
+from tapeworks.llm import frames, shipping, texts
 
 #: Ids of a shard; the document at the end is whole, so a shard may have more.
 SHARD_IDS = 1 << 20
@@ -40,10 +38,9 @@ RULES = 15_000
 ROUNDS = 6
 RULES_A_ROUND = 4_000
 END_ID = 2
-#: Pieces and words whose ids a Python worker remembers, before it forgets the older half.
-REMEMBERED = 500_000
-_ODD_SPACE = re.compile(r" (?:\s|$)")
-_TEXTS_AT_ONCE = 500
+#: Bytes of texts whose pieces are told apart at a time, and rows handed over for that.
+_BYTES_AT_ONCE = 8 << 20
+_TEXTS_AT_ONCE = 2_500
 _COUNT_BITS = 18
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,6 +56,11 @@ _WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 _THEMSELVES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+# White space: bytes of ASCII, and the others as numbers of their two or three bytes.
+_NO_SPACE = np.array([not chr(b).isspace() or b > 127 for b in range(256)])
+_ODD = [chr(c).encode() for c in range(128, 1 << 16) if chr(c).isspace()]
+_ODD_SPACES = np.array([int.from_bytes(x) for x in _ODD])
+_ODD_LEAD = np.isin(np.arange(256), [x[0] for x in _ODD])
 
 
 def _alphabet() -> dict[int, str]:
@@ -66,47 +68,25 @@ def _alphabet() -> dict[int, str]:
     return {b: chr(b) for b in _THEMSELVES} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-class Memory(dict):
-    """What was asked for lately: when it is full, only the younger half is kept."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.older = most, {}
-
-    def recall(self, keys: set) -> set:
-        """Keep of ``keys`` what is still known, and return the others."""
-        known = keys.intersection(self.older)
-        self.update((key, self.older[key]) for key in known)
-        return keys - known if known else keys
-
-    def recalled(self, key: str) -> bytes | None:
-        """The value of a key that is only in the older half, which is kept."""
-        value = self.older.get(key)
-        if value is not None:
-            self[key] = value
-        return value
-
-    def age(self) -> None:
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-
-
 class Encoder:
     """Ids of texts from a tokenizer file.
 
     Byte-level tokenizers begin a word at every space before a character that is no white
-    space. The pieces between such spaces are encoded once and remembered, and so are
-    the words that the tokenizer cuts them into; the tokenizer's model encodes these. Other
-    tokenizers encode whole texts.
+    space. Texts are cut there. The different pieces of some texts, told apart by Arrow, are
+    cut into the tokenizer's words, and the tokenizer's model encodes the different words in
+    one call. Nothing is remembered from these texts to the next. Other tokenizers encode
+    whole texts.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        # The model alone, for what is cut into words already.
+        self.words_only = Tokenizer(self.tokenizer.model)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.letters = np.array([ord(letter) for _, letter in sorted(_alphabet().items())], "<u2")
         parts = json.loads(self.tokenizer.to_str())
-        before = parts.get("pre_tokenizer") or {}
+        before, model = parts.get("pre_tokenizer") or {}, parts["model"]
+        own = self.tokenizer.get_vocab(with_added_tokens=False)
         self.special = [x["content"] for x in parts["added_tokens"]]
         self.by_pieces = (
             parts.get("normalizer") is None
@@ -117,70 +97,123 @@ class Encoder:
                 " " in x["content"] or x["lstrip"] or x["rstrip"] or x["single_word"]
                 for x in parts["added_tokens"]
             )
+            # The bytes of a word's ids are those of the word, so they tell where it ends.
+            and model.get("type") == "BPE"
+            and not model.get("continuing_subword_prefix")
+            and not model.get("end_of_word_suffix")
+            and own.keys() >= set(_alphabet().values())
         )
-        self.alphabet = _alphabet()
-        self.spaced = Memory(REMEMBERED)  # pieces behind a space
-        self.first = Memory(REMEMBERED)  # pieces at the beginning of a text
-        self.words = Memory(REMEMBERED)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_pieces or any(x in text for x in self.special for text in texts):
-            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-            return [np.array(x.ids, np.uint32) for x in found]
-        for memory in (self.spaced, self.first, self.words):
-            memory.age()
-        pieces = [self._pieces(text) for text in texts]
-        firsts = [own.pop(0) for own in pieces]
-        self._learn(self.first, set(firsts).difference(self.first), "")
-        self._learn(self.spaced, set(chain.from_iterable(pieces)).difference(self.spaced), " ")
-        known = self.spaced.__getitem__
-        return [
-            np.frombuffer(self.first[first] + b"".join(map(known, own)), np.uint32)
-            for first, own in zip(firsts, pieces, strict=True)
-        ]
-
-    def _learn(self, memory: Memory, pieces: set[str], before: str) -> None:
-        words, get = self.words, self.words.get
-        for piece in memory.recall(pieces):
-            ids = b""
-            for word in self._words(before + piece):
-                ids += get(word) or words.recalled(word) or self._new_word(word)
-            memory[piece] = ids
-
-    def _new_word(self, word: str) -> bytes:
-        mapped = word.encode().decode("latin-1").translate(self.alphabet)
-        ids = array("I", [x.id for x in self.model.tokenize(mapped)]).tobytes()
-        self.words[word] = ids
-        return ids
-
-    @staticmethod
-    def _words(piece: str) -> list[str]:
-        # Letters and a few marks behind them need no pattern.
-        letters = piece.rstrip(".,")
-        if letters[1:].isalpha() and (letters[0] == " " or letters[0].isalpha()):
-            return [letters, piece[len(letters) :]] if len(letters) < len(piece) else [letters]
-        return _WORDS.findall(piece)
-
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        pieces = text.split(" ")
-        if not _ODD_SPACE.search(text):
-            return pieces
-        # A space before white space or at the end is no cut.
-        joined = pieces[:1]
-        for piece in pieces[1:]:
-            if piece and not piece[0].isspace():
-                joined.append(piece)
-            else:
-                joined[-1] += " " + piece
-        return joined
+        self.bytes_of = np.zeros(max(own.values(), default=0) + 1, np.int64)
+        self.bytes_of[list(own.values())] = [len(token) for token in own]
+
+    def encode(self, column: pa.Array | list[str]) -> list[np.ndarray]:
+        if not isinstance(column, pa.Array):
+            column = pa.array(column, pa.string())
+        if not self.by_pieces:
+            return self._whole(column)
+        special = np.zeros(len(column), bool)
+        for content in self.special:
+            special |= pc.match_substring(column, content).to_numpy(zero_copy_only=False)
+        if not special.any():
+            return self._cut(column)
+        whole = iter(self._whole(column.filter(pa.array(special))))
+        others = iter(self._cut(column.filter(pa.array(~special))))
+        return [next(whole if one else others) for one in special]
+
+    def _whole(self, column: pa.Array) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch(column.to_pylist(), add_special_tokens=False)
+        return [np.array(x.ids, np.uint32) for x in found]
+
+    def _cut(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of texts without special tokens, some texts at a time."""
+        result: list[np.ndarray] = []
+        for _, data, offsets in texts.slices(column, _BYTES_AT_ONCE):
+            begins, before = pieces(data, offsets)
+            if not len(begins):
+                result += [np.zeros(0, np.uint32)] * (len(offsets) - 1)
+                continue
+            told = _strings(data, np.append(begins, len(data))).dictionary_encode()
+            codes = told.indices.to_numpy()
+            at_start = np.zeros(len(told.dictionary), bool)
+            at_start[codes[before[:-1][np.diff(before) > 0]]] = True
+            ids, ends = _gathered(*self._pieces(told.dictionary, at_start), codes)
+            result += [ids[a:b] for a, b in pairwise(ends[before].tolist())]
+        return result
+
+    def _pieces(self, different: pa.Array, at_start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and where those of each piece begin, and the end.
+
+        Pieces that are found behind others are cut into words in one string, where a space
+        before no white space is behind each of them, as in the texts. Those that are found
+        at the start of a text are cut one by one.
+        """
+        starting, inner = (different.filter(pa.array(some)) for some in (at_start, ~at_start))
+        ordered = pa.concat_arrays([starting, inner])
+        piece_ends = np.cumsum(pc.binary_length(ordered).to_numpy())
+        data = np.frombuffer(ordered.buffers()[2], np.uint8, piece_ends[-1])
+        words = [word for piece in starting.to_pylist() for word in _WORDS.findall(piece)]
+        words += _WORDS.findall(data[piece_ends[len(starting) - 1] :].tobytes().decode())
+        # The first bytes of characters, and the end, lead from characters to bytes.
+        byte_of = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        word_ends = byte_of[np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))]
+        told = _strings(data, np.append(0, word_ends)).dictionary_encode()
+        ids, ends = _gathered(*self._words(told.dictionary), told.indices.to_numpy())
+        cuts = ends[np.append(0, np.searchsorted(word_ends, piece_ends) + 1)]
+        place = np.argsort(np.argsort(~at_start, kind="stable"))
+        return _gathered(ids, cuts, place)
+
+    def _words(self, different: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and where those of each word begin, and the end."""
+        cuts = np.append(0, np.cumsum(pc.binary_length(different).to_numpy()))
+        data = np.frombuffer(different.buffers()[2], np.uint8, cuts[-1])
+        spelled = self.letters[data].tobytes().decode("utf-16-le")
+        words = [spelled[a:b] for a, b in pairwise(cuts.tolist())]
+        found = self.words_only.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found[0].ids, np.uint32)
+        ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), cuts[1:]) + 1
+        return ids, np.append(0, ends)
+
+
+def _strings(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The strings between ``cuts`` of ``data``, without a copy."""
+    buffers = [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.string(), len(cuts) - 1, buffers)
+
+
+def _gathered(ids: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids between ``ends[code]`` and ``ends[code + 1]`` of all codes, and their own ends."""
+    own = np.diff(ends)[codes]
+    made = np.concatenate([[0], np.cumsum(own)])
+    kind = np.int32 if max(made[-1], len(ids)) < 1 << 31 else np.int64
+    shift = (ends[codes] - made[:-1]).astype(kind)
+    return ids[np.repeat(shift, own) + np.arange(made[-1], dtype=kind)], made
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces of texts begin, and how many of them are before each text and the end.
+
+    A piece begins with a text and at each space in it that no white space follows.
+    """
+    spaces = np.flatnonzero(data[:-1] == 0x20)
+    cut = _NO_SPACE[data[spaces + 1]]
+    odd = np.flatnonzero(_ODD_LEAD[data[spaces + 1]])
+    three = [data.take(spaces[odd] + k, mode="clip").astype(np.int32) for k in (1, 2, 3)]
+    two = three[0] << 8 | three[1]
+    cut[odd] = ~(np.isin(two, _ODD_SPACES) | np.isin(two << 8 | three[2], _ODD_SPACES))
+    starts = np.zeros(len(data) + 1, bool)
+    starts[spaces[cut]] = True
+    starts[offsets[1:] - 1] = False  # another text follows
+    starts[offsets[:-1]] = True
+    starts[-1] = False
+    begins = np.flatnonzero(starts)
+    return begins, np.searchsorted(begins, offsets)
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One per file and Python worker, so that what it remembers serves many tasks."""
+    """One per file and Python worker, so that the file is read once."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -343,7 +376,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
         for part in parts:
             for first in range(0, part.num_rows, _TEXTS_AT_ONCE):
                 some = part.slice(first, _TEXTS_AT_ONCE)
-                found = encode.encode(some["text"].to_pylist())
+                found = encode.encode(some["text"])
                 for name, own in zip(some["doc_id"].to_pylist(), found, strict=True):
                     names.append(name)
                     ids.append(own)

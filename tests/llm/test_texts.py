@@ -304,6 +304,48 @@ def test_pieces_encode_like_whole_texts():
     assert not token_files.Encoder(public_tokenizers.path("word_bpe_49k.json")).by_pieces
 
 
+def test_texts_of_odd_spaces_encode_like_whole_texts():
+    rnd = random.Random(11)
+    parts = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u3000", "\u180e"]
+    parts += ["a", "word", "Été", "ß", "“", "—", "日本", "ạ", "Ω", "😀", "1", "23", "'s", "don't", ",", ".", "\x00", "ÿ", "Ā"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(4000)]
+    texts[100:103] = ["", "", " "]
+    whole = Tokenizer.from_file(BPE)
+    expected = [x.ids for x in whole.encode_batch(texts, add_special_tokens=False)]
+    own = token_files.Encoder(BPE)
+    for column in (pa.array(texts), pa.array(["x", *texts])[1:], pa.array(texts, pa.large_string())):
+        assert [x.tolist() for x in own.encode(column)] == expected
+    assert own.encode(pa.array([], pa.string())) == []
+    assert [len(x) for x in own.encode(pa.array(["", ""]))] == [0, 0]
+
+
+def test_different_words_are_encoded_in_one_call(monkeypatch):
+    special = token_files.Encoder(BPE).special[0]
+    texts = [f"the same words, and word {k % 7} of the\nsame" for k in range(300)] + [f"a {special} b"]
+    own, asked = token_files.Encoder(BPE), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            plain = getattr(self.inner, name)
+
+            def counted(batch, **how):
+                asked.append((name, sum(len(x) if isinstance(x, list) else 1 for x in batch)))
+                return plain(batch, **how)
+
+            return counted
+
+    expected = [x.ids for x in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(own, "tokenizer", Counted(own.tokenizer))
+    monkeypatch.setattr(own, "words_only", Counted(own.words_only))
+    assert [x.tolist() for x in own.encode(pa.array(texts))] == expected
+    # Only the text with a special token goes whole; 300 texts have these words.
+    words = {w for text in texts[:300] for w in token_files._WORDS.findall(text)}
+    assert sorted(asked) == [("encode_batch", 1), ("encode_batch_fast", len(words))]
+
+
 def test_grammars_decode_whole_and_in_part():
     rng = np.random.default_rng(2)
     ends = np.sort(rng.choice(20_000, 50, replace=False))
